@@ -1,0 +1 @@
+"""Nothing to stream: every source here is a batch table and every sink an overwrite."""
