@@ -1,7 +1,7 @@
 """Operators over whole tables."""
 
 from tillstar.operators.clean import dedupe, require
-from tillstar.operators.keys import add_dense_key
+from tillstar.operators.keys import add_dense_key, number_keys
 from tillstar.operators.lookup import look_up
 from tillstar.operators.quality import count_flags, flag_counts, summarise
 from tillstar.operators.rules import TableRules, clean, derive, transform, validate
@@ -18,6 +18,7 @@ __all__ = [
     "flag_counts",
     "flag_unique",
     "look_up",
+    "number_keys",
     "require",
     "summarise",
     "transform",

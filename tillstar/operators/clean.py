@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows in which none of ``columns`` is NULL."""
-    return df.dropna(subset=list(columns)) if columns else df
+    present = [F.col(c).isNotNull() for c in columns]
+    return df.filter(reduce(and_, present)) if present else df
 
 
 def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -14,18 +14,19 @@ from tillstar.session import write_shared
 PLACE_BITS = 33
 
 
-def add_dense_key(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Number the rows 1..n by ``by``, which must be unique and not NULL.
+def number_keys(keys: DataFrame, by: str, name: str) -> DataFrame:
+    """Number the values of ``by``, unique and not NULL, as 1..n in their order.
 
-    Rows are range-partitioned and sorted, and each gets its partition and its
-    place there.  The result is written to the shared folder, because range
+    Values are range-partitioned and sorted, and each gets its partition and
+    its place there.  The result is written to the shared folder, because range
     bounds are sampled: counting and numbering must read the same rows, also
     after an executor is lost.  Only one count per partition reaches the
-    driver, where they become the partitions' starting keys.
+    driver, where they become the partitions' starting numbers.
     """
     slot = F.col("_slot")
     placed = write_shared(
-        df.repartitionByRange(by)
+        keys.select(by)
+        .repartitionByRange(by)
         .sortWithinPartitions(by)
         .withColumn("_slot", F.monotonically_increasing_id()),
         name,
@@ -40,5 +41,14 @@ def add_dense_key(df: DataFrame, by: str, name: str) -> DataFrame:
     starts = [0, *accumulate(counts)][: len(counts)]
     bases = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
 
-    key = F.element_at(bases, (partition + 1).cast("int")) + place + 1
-    return placed.select(key.alias(name), *df.columns)
+    number = F.element_at(bases, (partition + 1).cast("int")) + place + 1
+    return placed.select(by, number.alias(name))
+
+
+def add_dense_key(df: DataFrame, by: str, name: str) -> DataFrame:
+    """Put the number of each row's ``by`` in front of its columns.
+
+    Only ``by`` is sampled, sorted and stored; the wide rows meet their numbers
+    in one equi-join on a unique key.
+    """
+    return df.join(number_keys(df, by, name), by, "left").select(name, *df.columns)

@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
+VALUE_BYTES = 16  # counted per value, besides the text it holds
 SAMPLE_ROWS = 1_000_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` by counting: 16 bytes per value plus the text held."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    held = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
-    row = df.agg(F.count(F.lit(1)), *held).first()
-    return row[0] * 16 * len(df.columns) + sum(row[1:])
+def narrowed(dimension: DataFrame, match: str, take: Mapping[str, str]) -> DataFrame:
+    """The columns a lookup needs: ``_match`` and what it takes."""
+    return dimension.select(
+        F.col(match).alias("_match"), *(F.col(c).alias(name) for c, name in take.items())
+    )
+
+
+def measure(tables: Sequence[DataFrame]) -> list[int]:
+    """Bytes each table holds, counted over its rows, all in one job."""
+
+    def size(place: int, df: DataFrame) -> DataFrame:
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        held = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
+        rows = F.count(F.lit(1)) * (VALUE_BYTES * len(df.columns))
+        return df.agg(sum(held, rows).alias("bytes")).select(F.lit(place).alias("place"), "bytes")
+
+    sizes = reduce(DataFrame.union, (size(i, df) for i, df in enumerate(tables)))
+    return [row.bytes for row in sorted(sizes.collect())]
 
 
 def hot_keys(rows: DataFrame, key: Column, partitions: int) -> list:
@@ -43,38 +57,41 @@ def look_up(
     take: Mapping[str, str],
     spread_by: str,
     broadcast_bytes: int = BROADCAST_BYTES,
+    size: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``dimension`` on ``on`` = ``match`` and add the columns ``take``.
 
     ``take`` maps dimension columns to names in the result.  ``match`` must be
     unique, so no row multiplies; a row without a match gets NULL.
 
-    The dimension is first narrowed and measured.  Up to ``broadcast_bytes`` it
-    is broadcast.  Beyond that both sides are shuffled, and rows whose key is
-    hot or NULL are spread by a salt from ``spread_by`` (a unique column); the
-    dimension rows of hot keys are repeated once per salt.
+    The dimension is first narrowed and measured (``size``, if the caller has
+    done that).  Up to ``broadcast_bytes`` it is broadcast.  Beyond that both
+    sides are shuffled, and rows whose key is hot or NULL are spread by a salt
+    from ``spread_by``, a unique column; the dimension rows of hot keys are
+    repeated once per salt.  Hot keys are sought in ``keys_from``, a stored
+    table with the same keys, or else in ``rows``.
     """
-    narrow = dimension.select(
-        F.col(match).alias("_match"), *(F.col(c).alias(name) for c, name in take.items())
-    )
-    kept = [F.col(c) for c in rows.columns] + [F.col(name) for name in take.values()]
+    narrow = narrowed(dimension, match, take)
+    kept = [F.col(c) for c in [*rows.columns, *take.values()]]
+    same_key = on == F.col("_match")
 
-    if measured_bytes(narrow) <= broadcast_bytes:
-        return rows.join(F.broadcast(narrow), on == F.col("_match"), "left").select(*kept)
+    if size is None:
+        (size,) = measure([narrow])
+    if size <= broadcast_bytes:
+        return rows.join(F.broadcast(narrow), same_key, "left").select(*kept)
 
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(rows, on, partitions)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(partitions)).cast("int")
+    hot = hot_keys(rows if keys_from is None else keys_from, on, partitions)
     no_salt = F.lit(0)
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(partitions)).cast("int")
+    spread, salts = on.isNull(), F.array(no_salt)
+    if hot:
+        spread = spread | on.isin(hot)
+        every_salt = F.sequence(no_salt, F.lit(partitions - 1))
+        salts = F.when(F.col("_match").isin(hot), every_salt).otherwise(salts)
 
-    spread = on.isNull() | on.isin(hot) if hot else on.isNull()
     left = rows.withColumn("_salt", F.when(spread, salt).otherwise(no_salt))
-    if hot:
-        salts = F.when(
-            F.col("_match").isin(hot), F.sequence(no_salt, F.lit(partitions - 1))
-        ).otherwise(F.array(no_salt))
-        narrow = narrow.withColumn("_of_salt", F.explode(salts))
-    else:
-        narrow = narrow.withColumn("_of_salt", no_salt)
-    same = (on == F.col("_match")) & (F.col("_salt") == F.col("_of_salt"))
-    return left.join(narrow, same, "left").select(*kept)
+    right = narrow.withColumn("_of_salt", F.explode(salts)).hint("merge")
+    same = same_key & (F.col("_salt") == F.col("_of_salt"))
+    return left.join(right, same, "left").select(*kept)

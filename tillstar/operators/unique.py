@@ -20,9 +20,10 @@ def flag_unique(df: DataFrame, key: str, flags: Mapping[str, str]) -> DataFrame:
     back on ``key``: the rows stay where the dedupe put them, and a frequent
     value has already shrunk to one row per map task.
     """
+    rows = df
     for flag, column in flags.items():
         singles = (
-            df.groupBy(column)
+            rows.groupBy(column)
             .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_only"))
             .filter(F.col("_n") == 1)
             .select("_only")

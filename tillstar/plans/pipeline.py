@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,13 @@ from tillstar.sources.calendar import build_dim_date
 from tillstar.sources.csv import extract_all
 
 ORDERS = "fact_orders"
+AT_ONCE = 4  # writes submitted together, so that small tables do not wait in line
+
+
+def _each(work: Callable[[str], dict[str, int]], names: Iterable[str]) -> dict[str, dict[str, int]]:
+    names = list(names)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return dict(zip(names, pool.map(work, names)))
 
 
 def run_pipeline(
@@ -36,12 +44,9 @@ def run_pipeline(
     """
     raw = extract_all(spark, source) if isinstance(source, str) else source
     wide = {name: transform(raw[name], rules, as_of) for name, rules in TABLES.items()}
-    written = {
-        f"wide_{name}": counts
-        for name, counts in parquet.load_all(
-            wide, root, {name: flag_counts(rules.flag_names()) for name, rules in TABLES.items()}
-        ).items()
-    }
+    flags = {name: flag_counts(rules.flag_names()) for name, rules in TABLES.items()}
+    loaded = _each(lambda name: parquet.load_wide(wide[name], root, name, flags[name]), wide)
+    written = {f"wide_{name}": counts for name, counts in loaded.items()}
     wide = {
         name: spark.read.schema(df.schema).parquet(parquet.wide_path(root, name))
         for name, df in wide.items()
@@ -49,19 +54,25 @@ def run_pipeline(
 
     star: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame, load, path) -> None:
-        written[name] = load(df, root, name)
-        star[name] = spark.read.schema(df.schema).parquet(path(root, name))
-
-    if dim_date is None:
-        dim_date = build_dim_date(spark)
-    keep("dim_date", dim_date, parquet.load_dimension, parquet.dimension_path)
-    for name, layout in DIMENSIONS.items():
-        df = build_dimension(name, wide[layout.table])
-        keep(name, df, parquet.load_dimension, parquet.dimension_path)
-    for name, layout in FACTS.items():
-        df = build_fact(name, wide[layout.table], star)
-        keep(name, df, parquet.load_fact, parquet.fact_path)
+    def keep(name: str, df: DataFrame, path: str) -> dict[str, int]:
+        counts = parquet.write_parquet(df, path)
+        star[name] = spark.read.schema(df.schema).parquet(path)
+        return counts
+
+    def keep_dimension(name: str) -> dict[str, int]:
+        if name == "dim_date":
+            df = build_dim_date(spark) if dim_date is None else dim_date
+        else:
+            df = build_dimension(name, wide[DIMENSIONS[name].table])
+        return keep(name, df, parquet.dimension_path(root, name))
+
+    def keep_fact(name: str) -> dict[str, int]:
+        df = build_fact(name, wide[FACTS[name].table], star)
+        return keep(name, df, parquet.fact_path(root, name))
+
+    written |= _each(keep_dimension, ["dim_date", *DIMENSIONS])
+    written |= _each(keep_fact, [ORDERS])
+    written |= _each(keep_fact, [name for name in FACTS if name != ORDERS])
 
     if database is not None:
         dimensions = {n: df for n, df in star.items() if n.startswith("dim_")}

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import add_dense_key
-from tillstar.operators.lookup import BROADCAST_BYTES, look_up
+from tillstar.operators.keys import add_dense_key, number_keys
+from tillstar.operators.lookup import BROADCAST_BYTES, look_up, measure, narrowed
 
 
 @dataclass(frozen=True)
@@ -204,10 +204,16 @@ def build_dimension(name: str, wide: DataFrame) -> DataFrame:
     return add_dense_key(columns, layout.natural, layout.key)
 
 
-def order_keys(orders: DataFrame) -> DataFrame:
-    """Only ``order_id`` and ``order_key``, as ``fact_orders`` assigns them."""
-    layout = FACTS["fact_orders"]
-    return add_dense_key(orders.select(layout.natural), layout.natural, layout.key)
+def key_table(name: str, wide: DataFrame, *also: str) -> DataFrame:
+    """Only the natural id and the key of a dimension or of ``fact_orders``.
+
+    Enough to look keys up, from any table that holds the id; ``also`` names
+    further columns of ``wide`` to carry along.
+    """
+    layout = DIMENSIONS[name] if name in DIMENSIONS else FACTS[name]
+    if not also:
+        return number_keys(wide, layout.natural, layout.key)
+    return add_dense_key(wide.select(layout.natural, *also), layout.natural, layout.key)
 
 
 def build_fact(
@@ -218,9 +224,9 @@ def build_fact(
 ) -> DataFrame:
     """The fact: surrogate key, keys looked up in ``tables``, measures.
 
-    The key comes first, while the rows are still narrow, and the lookups run
-    over the numbered rows.  They never add or drop a row; an id or day that
-    the dimension does not hold gives a NULL key.
+    Lookups never add or drop a row; an id or day that the dimension does not
+    hold gives a NULL key.  Give ``wide`` as a stored table where it is large:
+    its key column is read on its own, before the rows are.
     """
     layout = FACTS[name]
     found = {column for lookup in layout.lookups for column in lookup.take.values()}
@@ -229,15 +235,18 @@ def build_fact(
     needed = sorted({*source.values(), *ids})
 
     rows = add_dense_key(wide.select(*needed), layout.natural, layout.key)
-    for lookup in layout.lookups:
+    sizes = measure([narrowed(tables[k.dimension], k.match, k.take) for k in layout.lookups])
+    for lookup, size in zip(layout.lookups, sizes):
         rows = look_up(
             rows,
             tables[lookup.dimension],
             lookup.value(F.col(lookup.on)),
             lookup.match,
             lookup.take,
-            layout.natural,
-            broadcast_bytes,
+            spread_by=layout.natural,
+            broadcast_bytes=broadcast_bytes,
+            size=size,
+            keys_from=wide if lookup.on in wide.columns else rows,
         )
     return rows.select(
         layout.key, *(F.col(source.get(c, c)).alias(c) for c in layout.columns)

@@ -73,19 +73,16 @@ def load_fact(
     return write_parquet(df, fact_path(root, name), partition_by)
 
 
-def load_all(
-    wide: Mapping[str, DataFrame],
-    root: str,
-    observe: Mapping[str, Sequence[Column]] | None = None,
-) -> dict[str, dict[str, int]]:
-    """Write the twelve wide tables; ``orders`` by year and month."""
-    observe = observe or {}
-    return {
-        name: write_parquet(
-            wide[name], wide_path(root, name), PARTITIONED_BY.get(name, ()), observe.get(name, ())
-        )
-        for name in [*PROCESSED, *EVENTS]
-    }
+def load_wide(
+    df: DataFrame, root: str, name: str, observe: Sequence[Column] = ()
+) -> dict[str, int]:
+    """Write one wide table to its place; ``orders`` by year and month."""
+    return write_parquet(df, wide_path(root, name), PARTITIONED_BY.get(name, ()), observe)
+
+
+def load_all(wide: Mapping[str, DataFrame], root: str) -> dict[str, dict[str, int]]:
+    """Write the twelve wide tables."""
+    return {name: load_wide(wide[name], root, name) for name in [*PROCESSED, *EVENTS]}
 
 
 def load_warehouse(

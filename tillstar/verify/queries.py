@@ -24,9 +24,9 @@ from tillstar.operators import (
 )
 from tillstar.operators.lookup import BROADCAST_BYTES
 from tillstar.plans.pipeline import run_pipeline
-from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, order_keys
+from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, key_table
 from tillstar.plans.tables import TABLES
-from tillstar.session import new_path
+from tillstar.session import new_path, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import days, describe_days
 from tillstar.sources.csv import read_csv
@@ -62,18 +62,28 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "dim_date":
         return calendar(spark, sf_dir)
-    return build_dimension(name, wide_table(spark, sf_dir, DIMENSIONS[name].table))
+    table = DIMENSIONS[name].table
+    return build_dimension(name, write_shared(wide_table(spark, sf_dir, table), table))
+
+
+def lookup_table(spark: SparkSession, sf_dir: str, name: str, *also: str) -> DataFrame:
+    """What a fact needs of a dimension: ids and keys."""
+    if name == "dim_date":
+        return calendar(spark, sf_dir)
+    layout = DIMENSIONS.get(name) or FACTS[name]
+    ids = cleaned(spark, sf_dir, layout.table).select(layout.natural, *also)
+    return key_table(name, write_shared(ids, name) if also else ids, *also)
 
 
 def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     layout = FACTS[name]
-    tables = {
-        lookup.dimension: order_keys(cleaned(spark, sf_dir, "orders"))
-        if lookup.dimension == "fact_orders"
-        else dimension(spark, sf_dir, lookup.dimension)
-        for lookup in layout.lookups
-    }
-    return build_fact(name, wide_table(spark, sf_dir, layout.table), tables)
+    tables = {}
+    for lookup in layout.lookups:
+        also = [column for column in lookup.take if not column.endswith("_key")]
+        if lookup.dimension not in tables:
+            tables[lookup.dimension] = lookup_table(spark, sf_dir, lookup.dimension, *also)
+    wide = write_shared(wide_table(spark, sf_dir, layout.table), layout.table)
+    return build_fact(name, wide, tables)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,10 +219,10 @@ def role_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snowflake_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaned(spark, sf_dir, "inventory").select("inventory_id", "product_id")
     take = {"product_key": "product_key", "supplier_id": "supplier_id"}
-    products = dimension(spark, sf_dir, "dim_product")
+    products = lookup_table(spark, sf_dir, "dim_product", "supplier_id")
     rows = look_up(rows, products, F.col("product_id"), "product_id", take, "inventory_id")
     take = {"supplier_key": "supplier_key"}
-    suppliers = dimension(spark, sf_dir, "dim_supplier")
+    suppliers = lookup_table(spark, sf_dir, "dim_supplier")
     rows = look_up(rows, suppliers, F.col("supplier_id"), "supplier_id", take, "inventory_id")
     return rows.select("inventory_id", "product_key", "supplier_key")
 
