@@ -13,7 +13,7 @@ class Database:
     """Where to write, and how hard: ``connections`` bounds parallel sessions."""
 
     url: str
-    properties: Mapping[str, str] = field(default_factory=dict)  # user, password, driver
+    properties: dict[str, str] = field(default_factory=dict)  # user, password, driver
     connections: int = 16
     batch_rows: int = 10_000
 
@@ -26,9 +26,23 @@ class Database:
         }
 
 
-def write_table(df: DataFrame, database: Database, name: str, mode: str = "overwrite") -> None:
-    """Write one table; ``overwrite`` drops it and creates it anew."""
+def write_table(df: DataFrame, database: Database, name: str, mode: str = "overwrite") -> int:
+    """Write one table and return its rows; ``overwrite`` drops it and creates it anew.
+
+    Each task commits its own rows.  A task that is lost between its commit and
+    its report runs again, so an overwritten table is counted in the database
+    afterwards, and a surplus is an error.  Give a stored table: its rows are
+    counted too, which costs next to nothing there.
+    """
     df.write.format("jdbc").options(**database.options(), dbtable=name).mode(mode).save()
+    rows = df.count()
+    if mode == "overwrite":
+        count = f"SELECT count(*) AS n FROM {name}"
+        query = database.properties | {"url": database.url, "query": count}
+        (stored,) = df.sparkSession.read.format("jdbc").options(**query).load().first()
+        if int(stored) != rows:
+            raise RuntimeError(f"{name} holds {stored} rows, {rows} were sent; load it again")
+    return rows
 
 
 def read_table(spark: SparkSession, database: Database, name: str) -> DataFrame:
@@ -37,7 +51,8 @@ def read_table(spark: SparkSession, database: Database, name: str) -> DataFrame:
 
 def load_warehouse(
     dimensions: Mapping[str, DataFrame], facts: Mapping[str, DataFrame], database: Database
-) -> None:
-    """Write the dimensions, then the facts."""
-    for name, df in {**dimensions, **facts}.items():
-        write_table(df, database, name)
+) -> dict[str, int]:
+    """Write the dimensions, then the facts, and return their rows."""
+    return {
+        name: write_table(df, database, name) for name, df in {**dimensions, **facts}.items()
+    }

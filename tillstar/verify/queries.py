@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tillstar.plans.tables import TABLES
 from tillstar.session import new_path, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import days, describe_days
-from tillstar.sources.csv import read_csv
+from tillstar.sources.csv import extract_all, read_csv
 from tillstar.sources.schemas import SCHEMAS
 from tillstar.verify.bindings import given, source_table
 
@@ -86,18 +87,35 @@ def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return build_fact(name, wide, tables)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Keep padding, quotes and line breaks as they are."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', **blanks).csv(path)
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "customers.csv")
-    source_table(spark, sf_dir, "customers").write.csv(
-        path,
-        header=True,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    write_csv(source_table(spark, sf_dir, "customers"), path)
     return read_csv(spark, path, SCHEMAS["customers"])
 
 
+def csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    folder = new_path(spark, "csv")
+    for name in TABLES:
+        write_csv(source_table(spark, sf_dir, name), f"{folder}/{name}.csv")
+    return folder
+
+
+def extract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and present values per column of the twelve tables, read from CSV."""
+    counts = []
+    for name, df in extract_all(spark, csv_folder(spark, sf_dir)).items():
+        one_row = df.agg(F.count("*").alias("*"), *(F.count(c).alias(c) for c in df.columns))
+        long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "column", "present")
+        counts.append(long.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "products")
     parquet.write_parquet(source_table(spark, sf_dir, "products"), path)
@@ -248,9 +266,9 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: source_table(spark, sf_dir, name) for name in TABLES}
-    dates = calendar(spark, sf_dir)
-    return run_pipeline(spark, tables, new_path(spark, "run"), AS_OF, dim_date=dates)
+    """From a folder of CSV files to every wide table, dimension and fact."""
+    folder, dates = csv_folder(spark, sf_dir), calendar(spark, sf_dir)
+    return run_pipeline(spark, folder, new_path(spark, "run"), AS_OF, dim_date=dates)
 
 
 def _per(names, build: Callable[[SparkSession, str, str], DataFrame], prefix: str = ""):
@@ -263,6 +281,7 @@ def _per(names, build: Callable[[SparkSession, str, str], DataFrame], prefix: st
 def queries() -> dict[str, Query]:
     return {
         "csv_roundtrip": csv_roundtrip,
+        "extract_all": extract_tables,
         "parquet_roundtrip": parquet_roundtrip,
         "parquet_partitioned": parquet_partitioned,
         "jdbc_roundtrip": jdbc_roundtrip,
