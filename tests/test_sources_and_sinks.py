@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
 
 from oracle import DATA
 from tillstar import session
+from tillstar.__main__ import main
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS
 from tillstar.plans.tables import TABLES
@@ -58,6 +60,25 @@ def test_csv_may_be_split(spark, tmp_path):
     assert df.agg(F.sum("id")).first()[0] == 499_500
 
 
+def test_corrupt_files_are_left_out_on_request(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"a{n}.csv").write_text(f"id\n{n}\n")
+    whole = gzip.compress(b"id\n" + b"7\n" * 100_000)
+    (tmp_path / "b.csv.gz").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception, match="b.csv.gz|Unexpected end"):
+        read_csv(spark, str(tmp_path), "id BIGINT").collect()
+    kept = read_csv(spark, str(tmp_path), "id BIGINT", skip_corrupt=True).filter("id < 3")
+    assert sorted(r.id for r in kept.collect()) == [0, 1, 2]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    folder = registered.csv_folder(spark, SF)
+    root = str(tmp_path / "out")
+    main(["--source", folder, "--root", root, "--as-of", "2001-01-01", "--first-date", "1995-01-01"])
+    assert "fact_order_items" in capsys.readouterr().out
+    assert spark.read.parquet(parquet.fact_path(root, "fact_orders")).count() == 1500
+
+
 def test_extract_all_reads_twelve_tables(spark):
     tables = extract_all(spark, registered.csv_folder(spark, SF))
     assert sorted(tables) == sorted(SCHEMAS) == sorted(TABLES)

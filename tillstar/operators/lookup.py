@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -34,19 +35,31 @@ def measure(tables: Sequence[DataFrame]) -> list[int]:
     return [row.bytes for row in sorted(sizes.collect())]
 
 
-def hot_keys(rows: DataFrame, key: Column, partitions: int) -> list:
-    """Keys that hold more rows than an average partition would.
+def hot_keys(rows: DataFrame, key: Column, partitions: int) -> dict[int, list]:
+    """Keys that hold more rows than an average partition, by the parts they need.
 
-    Found on a sample of the key column of about ``SAMPLE_ROWS`` rows.  Fewer
-    than ``partitions`` keys can qualify.  The list decides how rows are
-    spread, never which rows are kept.
+    A key with up to twice that many rows needs two parts, up to four times
+    four, and so on; together that is fewer than twice ``partitions`` parts.
+    Rows are counted on a sample of the key column of about ``SAMPLE_ROWS``
+    rows: the outcome decides how rows are spread, never which are kept.
     """
     total = rows.count()
     share = min(1.0, SAMPLE_ROWS / max(total, 1))
     keys = rows.select(key.alias("k")).filter("k IS NOT NULL")
     sampled = keys if share == 1.0 else keys.sample(share, seed=7)
-    least = total * share / partitions
-    return [r.k for r in sampled.groupBy("k").count().filter(F.col("count") > least).collect()]
+    average = total * share / partitions
+    hot: dict[int, list] = {}
+    for row in sampled.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > average).collect():
+        hot.setdefault(2 ** math.ceil(math.log2(row.n / average)), []).append(row.k)
+    return hot
+
+
+def parts_of(key: Column, hot: Mapping[int, list]) -> Column:
+    """In how many parts the rows of a key are spread."""
+    parts = F.lit(1)
+    for n, keys in hot.items():
+        parts = F.when(key.isin(keys), n).otherwise(parts)
+    return parts
 
 
 def look_up(
@@ -68,8 +81,8 @@ def look_up(
     The dimension is first narrowed and measured (``size``, if the caller has
     done that).  Up to ``broadcast_bytes`` it is broadcast.  Beyond that both
     sides are shuffled, and rows whose key is hot or NULL are spread by a salt
-    from ``spread_by``, a unique column; the dimension rows of hot keys are
-    repeated once per salt.  Hot keys are sought in ``keys_from``, a stored
+    from ``spread_by``, a unique column; the dimension row of a hot key is
+    repeated once per part.  Hot keys are sought in ``keys_from``, a stored
     table with the same keys, or else in ``rows``.
     """
     narrow = narrowed(dimension, match, take)
@@ -83,15 +96,11 @@ def look_up(
 
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(rows if keys_from is None else keys_from, on, partitions)
-    no_salt = F.lit(0)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(partitions)).cast("int")
-    spread, salts = on.isNull(), F.array(no_salt)
-    if hot:
-        spread = spread | on.isin(hot)
-        every_salt = F.sequence(no_salt, F.lit(partitions - 1))
-        salts = F.when(F.col("_match").isin(hot), every_salt).otherwise(salts)
-
-    left = rows.withColumn("_salt", F.when(spread, salt).otherwise(no_salt))
+    parts = F.when(on.isNull(), partitions).otherwise(parts_of(on, hot))
+    salt = F.pmod(F.xxhash64(spread_by), parts)
+    salts = F.sequence(F.lit(0), parts_of(F.col("_match"), hot) - 1)
+
+    left = rows.withColumn("_salt", salt)
     right = narrow.withColumn("_of_salt", F.explode(salts)).hint("merge")
     same = same_key & (F.col("_salt") == F.col("_of_salt"))
     return left.join(right, same, "left").select(*kept)
