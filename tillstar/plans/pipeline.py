@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,18 +11,12 @@ from tillstar.operators.quality import flag_counts
 from tillstar.operators.rules import transform
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact
 from tillstar.plans.tables import TABLES
+from tillstar.session import side_by_side
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
 from tillstar.sources.csv import extract_all
 
 ORDERS = "fact_orders"
-AT_ONCE = 4  # writes submitted together, so that small tables do not wait in line
-
-
-def _each(work: Callable[[str], dict[str, int]], names: Iterable[str]) -> dict[str, dict[str, int]]:
-    names = list(names)
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        return dict(zip(names, pool.map(work, names)))
 
 
 def run_pipeline(
@@ -43,14 +36,14 @@ def run_pipeline(
     written order fact.  Row and flag counts come out of the writes.
     """
     raw = extract_all(spark, source) if isinstance(source, str) else source
-    wide = {name: transform(raw[name], rules, as_of) for name, rules in TABLES.items()}
-    flags = {name: flag_counts(rules.flag_names()) for name, rules in TABLES.items()}
-    loaded = _each(lambda name: parquet.load_wide(wide[name], root, name, flags[name]), wide)
-    written = {f"wide_{name}": counts for name, counts in loaded.items()}
-    wide = {
-        name: spark.read.schema(df.schema).parquet(parquet.wide_path(root, name))
-        for name, df in wide.items()
-    }
+    wide: dict[str, DataFrame] = {}
+
+    def keep_wide(name: str) -> dict[str, int]:
+        rules = TABLES[name]
+        df = transform(raw[name], rules, as_of)
+        counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+        wide[name] = spark.read.schema(df.schema).parquet(parquet.wide_path(root, name))
+        return counts
 
     star: dict[str, DataFrame] = {}
 
@@ -70,9 +63,11 @@ def run_pipeline(
         df = build_fact(name, wide[FACTS[name].table], star)
         return keep(name, df, parquet.fact_path(root, name))
 
-    written |= _each(keep_dimension, ["dim_date", *DIMENSIONS])
-    written |= _each(keep_fact, [ORDERS])
-    written |= _each(keep_fact, [name for name in FACTS if name != ORDERS])
+    loaded = side_by_side(keep_wide, TABLES)
+    written = {f"wide_{name}": counts for name, counts in loaded.items()}
+    written |= side_by_side(keep_dimension, ["dim_date", *DIMENSIONS])
+    written |= side_by_side(keep_fact, [ORDERS])
+    written |= side_by_side(keep_fact, [name for name in FACTS if name != ORDERS])
 
     if database is not None:
         dimensions = {n: df for n, df in star.items() if n.startswith("dim_")}

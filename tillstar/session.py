@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
+AT_ONCE = 4  # tables built together, so that small ones do not wait in line
+
+T = TypeVar("T")
 
 # What the jobs here rely on.  Anything the caller or the cluster already set
 # (master, memory, shuffle partitions, jars) is left alone.
@@ -64,3 +70,14 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(build: Callable[[str], T], names: Iterable[str]) -> dict[str, T]:
+    """``{name: build(name)}`` for builds that do not need each other.
+
+    Each build submits its own Spark jobs; a few run at a time and share the
+    executors, and the first error is raised.
+    """
+    names = list(names)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return dict(zip(names, pool.map(build, names)))

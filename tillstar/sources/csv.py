@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tillstar.session import side_by_side
 from tillstar.sources.schemas import SCHEMAS
 
 
@@ -40,7 +41,7 @@ def read_csv(
 
 def extract_all(spark: SparkSession, folder: str, **options: bool) -> dict[str, DataFrame]:
     """The twelve source tables, each from ``<folder>/<table>.csv``."""
-    return {
-        name: read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schema, **options)
-        for name, schema in SCHEMAS.items()
-    }
+    folder = folder.rstrip("/")
+    return side_by_side(
+        lambda name: read_csv(spark, f"{folder}/{name}.csv", SCHEMAS[name], **options), SCHEMAS
+    )

@@ -27,7 +27,7 @@ from tillstar.operators.lookup import BROADCAST_BYTES
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, key_table
 from tillstar.plans.tables import TABLES
-from tillstar.session import new_path, write_shared
+from tillstar.session import new_path, side_by_side, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import days, describe_days
 from tillstar.sources.csv import extract_all, read_csv
@@ -78,13 +78,18 @@ def lookup_table(spark: SparkSession, sf_dir: str, name: str, *also: str) -> Dat
 
 def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     layout = FACTS[name]
-    tables = {}
-    for lookup in layout.lookups:
-        also = [column for column in lookup.take if not column.endswith("_key")]
-        if lookup.dimension not in tables:
-            tables[lookup.dimension] = lookup_table(spark, sf_dir, lookup.dimension, *also)
-    wide = write_shared(wide_table(spark, sf_dir, layout.table), layout.table)
-    return build_fact(name, wide, tables)
+    also = {
+        lookup.dimension: [c for c in lookup.take if not c.endswith("_key")]
+        for lookup in layout.lookups
+    }
+
+    def build(table: str) -> DataFrame:
+        if table in also:
+            return lookup_table(spark, sf_dir, table, *also[table])
+        return write_shared(wide_table(spark, sf_dir, table), table)
+
+    tables = side_by_side(build, [layout.table, *also])
+    return build_fact(name, tables[layout.table], tables)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -101,8 +106,9 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = new_path(spark, "csv")
-    for name in TABLES:
-        write_csv(source_table(spark, sf_dir, name), f"{folder}/{name}.csv")
+    side_by_side(
+        lambda name: write_csv(source_table(spark, sf_dir, name), f"{folder}/{name}.csv"), TABLES
+    )
     return folder
 
 
