@@ -41,7 +41,7 @@ HEADLINE = [
     "fact_shipments",
     "fact_returns",
     "fact_inventory",
-    "run_pipeline",
+    "whole_run",
 ]
 
 

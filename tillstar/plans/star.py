@@ -225,17 +225,21 @@ def build_fact(
     """The fact: surrogate key, keys looked up in ``tables``, measures.
 
     Lookups never add or drop a row; an id or day that the dimension does not
-    hold gives a NULL key.  Give ``wide`` as a stored table where it is large:
-    its key column is read on its own, before the rows are.
+    hold gives a NULL key.  Where some dimension is too large to broadcast, all
+    keys are found for the ids alone and meet the measures in one last join, so
+    the wide rows are shuffled once, however many such dimensions there are.
+    ``wide`` should be a stored table: parts of it are read on their own.
     """
     layout = FACTS[name]
     found = {column for lookup in layout.lookups for column in lookup.take.values()}
     source = {c: layout.renamed.get(c, c) for c in layout.columns if c not in found}
-    ids = {lookup.on for lookup in layout.lookups} - found - set(source.values())
-    needed = sorted({*source.values(), *ids})
+    ids = {layout.natural, *(lookup.on for lookup in layout.lookups)} - found
+    measures = sorted(set(source.values()) - ids)
 
-    rows = add_dense_key(wide.select(*needed), layout.natural, layout.key)
     sizes = measure([narrowed(tables[k.dimension], k.match, k.take) for k in layout.lookups])
+    apart = max(sizes) > broadcast_bytes
+    first = sorted(ids) if apart else [*sorted(ids), *measures]
+    rows = add_dense_key(wide.select(*first), layout.natural, layout.key)
     for lookup, size in zip(layout.lookups, sizes):
         rows = look_up(
             rows,
@@ -248,6 +252,8 @@ def build_fact(
             size=size,
             keys_from=wide if lookup.on in wide.columns else rows,
         )
+    if apart:
+        rows = wide.select(layout.natural, *measures).join(rows, layout.natural, "left")
     return rows.select(
         layout.key, *(F.col(source.get(c, c)).alias(c) for c in layout.columns)
     )

@@ -310,5 +310,5 @@ def queries() -> dict[str, Query]:
         **_per(TABLES, quality, "quality_"),
         **_per(["dim_date", *DIMENSIONS], dimension),
         **_per(FACTS, fact),
-        "run_pipeline": whole_run,
+        "whole_run": whole_run,
     }
