@@ -209,5 +209,9 @@ class Settings:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Settings(**{"spark.master": "yarn"}))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Settings(**{"spark.master": "local-cluster[2,1,1024]"}))
+    with pytest.raises(ValueError, match="tillstar.jdbc.url"):
+        registered.database(Settings(**{"spark.master": "yarn"}))
     local = Settings(**{"spark.master": "local[2]"})
     assert session.shared_dir(local) == session.shared_dir(local)

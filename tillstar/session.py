@@ -35,6 +35,12 @@ def get_session(app_name: str = "tillstar", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: the one named in ``spark.checkpoint.dir``.
 
@@ -47,8 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("tillstar.shared.dir", None)
     if folder:
         return folder
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
+    if not is_local(spark):
         raise ValueError(f"set {SHARED_DIR_CONF} to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="tillstar-")
     spark.conf.set("tillstar.shared.dir", folder)

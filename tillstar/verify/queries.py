@@ -27,7 +27,7 @@ from tillstar.operators.lookup import BROADCAST_BYTES
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, key_table
 from tillstar.plans.tables import TABLES
-from tillstar.session import new_path, side_by_side, write_shared
+from tillstar.session import is_local, new_path, side_by_side, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import days, describe_days
 from tillstar.sources.csv import extract_all, read_csv
@@ -135,15 +135,21 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(wide.schema).parquet(path)
 
 
+def database(spark: SparkSession) -> jdbc.Database:
+    """The one in ``tillstar.jdbc.url``; a local session may do with one in its own memory."""
+    url = spark.conf.get("tillstar.jdbc.url", None)
+    driver = spark.conf.get("tillstar.jdbc.driver", "org.apache.derby.jdbc.EmbeddedDriver")
+    if url is None:
+        if not is_local(spark):
+            raise ValueError("set tillstar.jdbc.url to a database that all executors can reach")
+        url = "jdbc:derby:memory:tillstar;create=true"
+    return jdbc.Database(url, {"driver": driver}, connections=4)
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through the database in ``tillstar.jdbc.url``, else one inside this process."""
-    database = jdbc.Database(
-        spark.conf.get("tillstar.jdbc.url", "jdbc:derby:memory:tillstar;create=true"),
-        {"driver": spark.conf.get("tillstar.jdbc.driver", "org.apache.derby.jdbc.EmbeddedDriver")},
-        connections=4,
-    )
-    jdbc.write_table(given(spark, sf_dir, "supplier"), database, "tillstar_supplier")
-    stored = jdbc.read_table(spark, database, "tillstar_supplier")
+    target = database(spark)
+    jdbc.write_table(given(spark, sf_dir, "supplier"), target, "tillstar_supplier")
+    stored = jdbc.read_table(spark, target, "tillstar_supplier")
     return stored.select(*(F.col(c).alias(c.lower()) for c in stored.columns))
 
 
