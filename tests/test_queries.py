@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import importlib
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
 from oracle import DATA, spark_rows, sql_rows
 
+ROOT = Path(__file__).resolve().parents[1]
 entry = importlib.import_module("__spark_entry__")
 SF = str(DATA / "sf0.001")
 
@@ -16,6 +20,15 @@ def test_every_query_has_sql():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
 
+def test_the_registry_needs_no_session():
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    ran = subprocess.run(
+        [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True
+    )
+    assert ran.returncode == 0, ran.stderr
+    assert len(set(ran.stdout.split())) == 1
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_agrees_with_sql(spark, name):
     columns, rows = spark_rows(entry.queries()[name](spark, SF))
