@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +156,29 @@ def test_days_outside_the_calendar_have_no_key(spark):
     assert late.count() > 0
     assert late.filter("date_key IS NOT NULL").count() == 0
     assert fact.filter("order_date IS NULL AND date_key IS NOT NULL").count() == 0
+
+
+def test_dedupe_agrees_with_plain_python(spark):
+    draw = random.Random(5)
+    rows = [
+        (
+            7 if draw.random() < 0.33 else draw.randrange(300),
+            draw.choice([None, "a", "b", "c"]),
+            draw.choice([None, -1.5, 0.0, 2.5]),
+            draw.choice([None, True, False]),
+        )
+        for _ in range(4_000)
+    ]
+    first: dict = {}
+    for row in rows:
+        rank = [(v is None, v if v is not None else 0) for v in row[1:]]
+        if row[0] not in first or rank < first[row[0]][0]:
+            first[row[0]] = (rank, row)
+    df = spark.createDataFrame(rows, "k int, a string, b double, c boolean").repartition(11)
+    kept = {r.k: tuple(r) for r in dedupe(df, ["k"]).collect()}
+    assert kept == {k: row for k, (_, row) in first.items()}
+
+
+def test_parts_are_bounded(spark, skewed):
+    hot = hot_keys(skewed, F.col("k"), 500)
+    assert sum(n * len(keys) for n, keys in hot.items()) < 2 * 500

@@ -228,7 +228,7 @@ def build_fact(
     hold gives a NULL key.  Where some dimension is too large to broadcast, all
     keys are found for the ids alone and meet the measures in one last join, so
     the wide rows are shuffled once, however many such dimensions there are.
-    ``wide`` should be a stored table: parts of it are read on their own.
+    ``wide`` and ``tables`` should be stored: parts of them are read on their own.
     """
     layout = FACTS[name]
     found = {column for lookup in layout.lookups for column in lookup.take.values()}
