@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import urls, warc
+from tillstar.llm import neardup, urls, warc
 from tillstar.llm.common import read_table
 
 # The rules of the URL query.
@@ -27,5 +27,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_documents(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_urls": op5_urls, "op6_warc": op6_warc}
+    return {"op5_urls": op5_urls, "op6_warc": op6_warc, "op7_neardup": op7_neardup}
