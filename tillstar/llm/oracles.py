@@ -43,5 +43,35 @@ FROM bits
 """
 
 
+_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH d AS (
+  SELECT doc_id, coalesce({_WORDS.format(LOWER.format("text"))}, []) AS w FROM documents
+), b AS (
+  SELECT item_id, {_WORDS.format(LOWER.format("text"))} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i + 1 : i + 13], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), runs AS (
+  SELECT doc_id, size, i, array_to_string(w[i + 1 : i + size], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS i FROM d, sizes WHERE len(w) >= size)
+), found AS (
+  SELECT DISTINCT r.doc_id, r.i, r.size, x.item_id FROM runs r JOIN windows x ON r.size = x.size AND r.phrase = x.phrase
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items t ON d.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_urls": URLS, "op6_warc": WARC}
+    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import neardup, urls, warc
+from tillstar.llm import decontaminate, neardup, urls, warc
 from tillstar.llm.common import read_table
 
 # The rules of the URL query.
@@ -18,6 +18,11 @@ URL_RULES = [
 ]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, benchmark)
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return urls.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -32,4 +37,5 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_urls": op5_urls, "op6_warc": op6_warc, "op7_neardup": op7_neardup}
+    made = [op1_decontaminate, op5_urls, op6_warc, op7_neardup]
+    return {query.__name__: query for query in made}
