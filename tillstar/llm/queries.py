@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, neardup, urls, warc
+from tillstar.llm import decontaminate, neardup, substrings, urls, warc
 from tillstar.llm.common import read_table
 
 # The rules of the URL query.
@@ -23,6 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, benchmark)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return urls.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -37,5 +41,5 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op5_urls, op6_warc, op7_neardup]
+    made = [op1_decontaminate, op4_substrings, op5_urls, op6_warc, op7_neardup]
     return {query.__name__: query for query in made}
