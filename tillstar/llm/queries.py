@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, neardup, substrings, urls, warc
-from tillstar.llm.common import read_table
+from tillstar.llm import decontaminate, neardup, quality, substrings, urls, warc
+from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
 URL_RULES = [
@@ -40,6 +40,10 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents")).drop(ROW, "distance")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op4_substrings, op5_urls, op6_warc, op7_neardup]
+    made = [op1_decontaminate, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality]
     return {query.__name__: query for query in made}
