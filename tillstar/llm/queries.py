@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, neardup, quality, substrings, urls, warc
+from tillstar.llm import decontaminate, neardup, quality, substrings, toxicity, urls, warc
 from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
@@ -23,6 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, benchmark)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality]
+    made = [op1_decontaminate, op2_toxicity, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality]
     return {query.__name__: query for query in made}
