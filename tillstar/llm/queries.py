@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, neardup, quality, substrings, toxicity, urls, warc
+from tillstar.llm import decontaminate, grammar, neardup, quality, substrings, toxicity, urls, warc
 from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
@@ -48,6 +49,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents")).drop(ROW, "distance")
 
 
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op2_toxicity, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality]
+    made = [op1_decontaminate, op2_toxicity, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens]
     return {query.__name__: query for query in made}
