@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
 from types import ModuleType
@@ -53,3 +54,27 @@ class WordEncoder:
 
     def __call__(self, text: str) -> bytes:
         return lookup(self.store, split_at_spaces(text), self.encode_missing)
+
+
+# Where neighbouring white space could share ids with what stands beside it.
+LOOSE_SPACE = re.compile(r"\s\s|\A\s|\s\Z|\0")
+
+
+class ByteEncoder:
+    """For byte-level tokenizers that join a single space to the word behind it.
+
+    Such a text can be cut before every space and around every line end, if all
+    white space in it is single and inside; other texts are encoded as they are.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer, self.store = load(path), kept_ids(path)
+
+    def encode_missing(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [b"".join(i.to_bytes(2, "little") for i in x.ids) for x in found]
+
+    def __call__(self, text: str) -> bytes:
+        if LOOSE_SPACE.search(text):
+            return self.encode_missing([text])[0]
+        return lookup(self.store, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"), self.encode_missing)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, grammar, neardup, quality, substrings, toxicity, urls, warc
+from tillstar.llm import decontaminate, grammar, neardup, packing, quality, substrings, toxicity, urls, warc
 from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
@@ -28,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -54,5 +58,5 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op2_toxicity, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens]
+    made = [op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens]
     return {query.__name__: query for query in made}
