@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import decontaminate, grammar, neardup, packing, quality, substrings, toxicity, urls, warc
+from tillstar.llm import decontaminate, grammar, licenses, neardup, packing, quality, substrings, toxicity, urls, warc
 from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
@@ -57,6 +57,10 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens]
+    made = [op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens, op10_licenses]
     return {query.__name__: query for query in made}
