@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.session import write_shared
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_BYTES = 8 * 1024 * 1024
 ROW = "__row"
@@ -31,3 +33,23 @@ def numbered(df: DataFrame, *columns: str) -> DataFrame:
 def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> bool:
     """Whether a table, at so many bytes a row, may be sent to every executor."""
     return df.count() * row_bytes <= most
+
+
+def without_rejected(docs: DataFrame, key: Column, decisions: DataFrame, unique: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` (key, kept) keeps, all columns as they are.
+
+    ``key`` is a 64-bit fingerprint of a row.  Rows with the same one stay if one
+    of them is kept; with ``unique`` only one of them stays.  The rejected
+    fingerprints are broadcast if their measured size allows, so that texts need
+    no shuffle; otherwise both sides are shuffled by fingerprint.
+    """
+    told = decisions.groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    told = write_shared(told, "decisions")
+    rejected = told.filter("NOT kept").select("key")
+    few = small(rejected, 64)
+    rows = docs.withColumn("__key", key).join(
+        F.broadcast(rejected) if few else rejected, F.col("__key") == F.col("key"), "left_anti"
+    )
+    if unique and told.filter("kept AND n > 1").limit(1).count():
+        rows = rows.dropDuplicates(["__key"])
+    return rows.drop("__key")

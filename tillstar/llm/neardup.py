@@ -140,26 +140,84 @@ def spanning_links(count: int, related: Callable[[int, np.ndarray], np.ndarray])
     return links
 
 
-def bucket_links(group: pd.DataFrame) -> pd.DataFrame:
-    """Possible links within a bucket (or two blocks of a large one)."""
-    group = group.sort_values("row")
-    signatures = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), -1)
+def groups_of(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows sorted by ``key`` as frames of whole groups, with the groups' bounds in them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch[key].to_numpy()
+        changes = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        if held and (held[-1][key].iloc[-1].to_numpy() != keys[0]).any():
+            yield from _whole(held, key)
+            held = []
+        if len(changes):
+            yield from _whole([*held, batch.iloc[: changes[-1]]], key)
+            held = [batch.iloc[changes[-1] :]]
+        else:
+            held.append(batch)
+    if held:
+        yield from _whole(held, key)
+
+
+def _whole(parts: list[pd.DataFrame], key: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)
+    keys = rows[key].to_numpy()
+    yield rows, np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(rows)]])
+
+
+def per_group(rows: DataFrame, key: list[str], links: Callable) -> DataFrame:
+    """Links (a, b) that ``links`` finds in the groups of ``rows``.
+
+    The groups are met as sorted runs in a stream, so very many small ones cost
+    no call or table each; a task holds a batch and one group.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, bounds in groups_of(batches, key):
+            found = links(frame, bounds)
+            yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    return rows.repartition(*key).sortWithinPartitions(*key, "row").mapInPandas(run, "a long, b long")
+
+
+def bucket_links(rows: pd.DataFrame, bounds: np.ndarray) -> list[tuple[int, int]]:
+    """Possible links within buckets (or two blocks of a large one)."""
+    signatures = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), -1)
     rules = least_matches(signatures.shape[1], BATCH, PERCENT, MISS)
-    ids = group["row"].to_numpy()
-    links = spanning_links(len(group), lambda one, others: compare(signatures[one], signatures[others], rules))
-    return pd.DataFrame([(ids[a], ids[b]) for a, b in links], columns=["a", "b"]).astype("int64")
+    ids, sizes = rows["row"].to_numpy(), np.diff(bounds)
+    # Buckets of two, nearly all there are, are compared together.
+    first = bounds[:-1][sizes == 2]
+    alive, matches, start = first, np.zeros(len(first), np.int64), 0
+    for end, least in rules:
+        matches += (signatures[alive, start:end] == signatures[alive + 1, start:end]).sum(1)
+        keep = matches >= least
+        alive, matches, start = alive[keep], matches[keep], end
+    links = list(zip(ids[alive], ids[alive + 1]))
+    for low, size in zip(bounds[:-1][sizes > 2], sizes[sizes > 2]):
+        own, names = signatures[low : low + size], ids[low : low + size]
+        found = spanning_links(size, lambda one, others: compare(own[one], own[others], rules))
+        links += [(names[a], names[b]) for a, b in found]
+    return links
 
 
-def verify_links(group: pd.DataFrame) -> pd.DataFrame:
-    """Links with the exact similarity, within one group of possible duplicates or two blocks of it."""
-    group = group.sort_values("row")
-    ids, cache = group["row"].to_numpy(), {}
-    sets = [word_shingles(text, cache) for text in group["text"]]
+def verify_links(rows: pd.DataFrame, bounds: np.ndarray) -> list[tuple[int, int]]:
+    """Links with the exact similarity within groups of possible duplicates (or two blocks of one)."""
+    cache: dict[bytes, bytes] = {}
+    ids, texts = rows["row"].to_numpy(), rows["text"].to_numpy()
+    links = []
+    for low, high in zip(bounds, bounds[1:]):
+        sets = [word_shingles(text, cache) for text in texts[low:high]]
+        links += [(ids[low + a], ids[low + b]) for a, b in exact_links(sets)]
+    return links
+
+
+def exact_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning set of the links between shingle sets, by place."""
     sizes = np.array([len(s) for s in sets])
     starts = np.concatenate([[0], np.cumsum(sizes)])
     values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    del sets
-    owners = np.repeat(np.arange(len(ids)), sizes)
+    owners = np.repeat(np.arange(len(sizes)), sizes)
     order = np.argsort(inverse, kind="stable")
     posting_owner = owners[order]
     posting_start = np.searchsorted(inverse[order], np.arange(len(values) + 1))
@@ -168,12 +226,11 @@ def verify_links(group: pd.DataFrame) -> pd.DataFrame:
         own = inverse[starts[one] : starts[one + 1]]
         lengths = posting_start[own + 1] - posting_start[own]
         offsets = np.repeat(posting_start[own] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-        common = np.bincount(posting_owner[offsets + np.arange(lengths.sum())], minlength=len(ids))[others]
+        common = np.bincount(posting_owner[offsets + np.arange(lengths.sum())], minlength=len(sizes))[others]
         union = sizes[one] + sizes[others] - common
         return np.flatnonzero(100 * common >= PERCENT * union)
 
-    links = spanning_links(len(ids), related)
-    return pd.DataFrame([(ids[a], ids[b]) for a, b in links], columns=["a", "b"]).astype("int64")
+    return spanning_links(len(sizes), related)
 
 
 def in_blocks(members: DataFrame, blocks: str = "blocks") -> DataFrame:
@@ -203,7 +260,7 @@ def sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, text_hash (xxhash64 of the text).
 
     Documents are linked when their sets of five-word shingles (64-bit hashes)
     have a Jaccard similarity of 0.75 or more; components are those of the links.
@@ -234,11 +291,7 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     members = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     signatures = full.select(F.col(ROW).alias("row"), "signature")
     spread = in_blocks(members.drop("members").join(signatures, "row"))
-    possible = connected(
-        spread.groupBy("band", "__low", "__high").applyInPandas(
-            lambda group: bucket_links(group), "a long, b long"
-        )
-    )
+    possible = connected(per_group(spread, ["band", "__low", "__high"], bucket_links))
 
     sizes = full.select(F.col(ROW).alias("row"), "n_shingles", "__id", "__hash")
     grouped = possible.select(F.col("node").alias("row"), "root").join(sizes, "row")
@@ -249,14 +302,14 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     same = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_hash") == F.col("__hash"))
     found = texts.join(grouped, same).select("row", "root", "blocks", "text").dropDuplicates(["row"])
     spread = in_blocks(found)
-    exact = spread.groupBy("root", "__low", "__high").applyInPandas(lambda group: verify_links(group), "a long, b long")
+    exact = per_group(spread, ["root", "__low", "__high"], verify_links)
 
     roots = connected(exact).withColumnRenamed("node", "representative")
     equal = copies.join(roots, "representative", "left").select(
         "digest", "n_shingles", F.coalesce("root", "representative").alias("root")
     )
-    placed = full.select(ROW, "__id", "digest", "n_shingles").join(equal, ["digest", "n_shingles"]).drop("digest")
-    single = sketches.filter("n_shingles = 0").select("n_shingles", ROW, "__id", F.col(ROW).alias("root"))
+    placed = full.select(ROW, "__id", "__hash", "digest", "n_shingles").join(equal, ["digest", "n_shingles"]).drop("digest")
+    single = sketches.filter("n_shingles = 0").select("n_shingles", ROW, "__id", "__hash", F.col(ROW).alias("root"))
     placed = placed.unionByName(single)
     order = F.struct(F.col("__id").isNull().alias("unnamed"), F.col("__id").alias("id"), F.col(ROW).alias("row"))
     chosen = placed.groupBy("root").agg(F.min(order).alias("chosen"))
@@ -265,4 +318,5 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "n_shingles",
         F.col("chosen.id").alias("component_id"),
         (F.col("chosen.row") == F.col(ROW)).alias("kept"),
+        F.col("__hash").alias("text_hash"),
     )
