@@ -11,6 +11,7 @@ from tillstar.session import write_shared
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13  # words of a benchmark window
 TERM_BYTES = 120  # of a benchmark term as broadcast
+WINDOW_BYTES = 200  # of a window's number and its rarest term as broadcast
 END = ""  # term of the posting that stands behind a document's last word
 
 
@@ -90,6 +91,8 @@ def occurrences(
     ranked = write_shared(ranked.select("window", "length", "place", "term", "rank"), "ranked")
 
     first = ranked.filter("rank = 1").select("window", "place", "term")
+    if first.count() * WINDOW_BYTES <= most_broadcast:  # else both sides are shuffled by term
+        first = F.broadcast(first)
     starts = postings.select(ROW, "term", "position").join(first, "term")
     starts = starts.select(ROW, "window", (F.col("position") - F.col("place")).alias("start")).filter("start >= 0")
     cut = ranked.filter("rank = 2").select("window", "place", "term")
