@@ -9,7 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.session import write_shared
@@ -17,6 +17,8 @@ from tillstar.session import write_shared
 RUN = 3  # sentences of a run, at least
 LEAST_WORDS = 16  # words of a run, at least
 LONG_SENTENCE = 90  # characters; a longer sentence is cut into pieces
+KNOWN_RUNS = 400_000  # places that a task remembers
+MARK = 0xFFFFFFFF
 CUT_ONE_IN = 6  # behind one in so many of its words, chosen by the word's own checksum
 
 # A piece of text up to and with the end of a sentence or line and the white space behind it.
@@ -82,20 +84,54 @@ def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every run of the texts; ``later`` marks those that an earlier place of this task also holds.
+
+    Of equal runs met in a task only the first place may be the first of all, so
+    a run in very many texts leaves a row per task to compare.  The places known
+    are bounded: beyond ``KNOWN_RUNS`` they are given out as they are.
+    """
+    known: dict[int, tuple[int, int, int]] = {}
+
+    def frame(rows: list[tuple], later: bool) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["run", "key", "at", "end"], dtype="int64")
+        out["later"] = later
+        return out
+
+    def first_ones() -> pd.DataFrame:
+        rows = [(run, *place) for run, place in known.items()]
+        known.clear()
+        return frame(rows, False)
+
     for batch in batches:
-        for at in range(0, len(batch), 500):  # runs of a few texts at a time
-            some = batch.iloc[at : at + 500]
-            found = [runs_of(text) for text in some["__text"]]
-            lengths = [len(x[0]) for x in found]
-            out = pd.DataFrame({"__id": pd.array(some["__id"].astype("Int64").repeat(lengths), dtype="Int64")})
-            out["__hash"] = np.repeat(some["__hash"].to_numpy(), lengths)
-            for i, name in enumerate(("first", "end", "run")):
-                out[name] = np.concatenate([x[i] for x in found]) if found else []
-            yield out
+        for begin in range(0, len(batch), 500):  # runs of a few texts at a time
+            some, later = batch.iloc[begin : begin + 500], []
+            for key, mark, text in zip(some["__key"].tolist(), some["__mark"].tolist(), some["__text"]):
+                firsts, ends, runs = runs_of(text)
+                for first, end, run in zip(firsts.tolist(), ends.tolist(), runs.tolist()):
+                    place = (key, (first << 32) | mark, end)
+                    other = known.get(run)
+                    if other is None or place == other:
+                        known[run] = place
+                    elif place < other:
+                        known[run] = place
+                        later.append((run, *other))
+                    else:
+                        later.append((run, *place))
+            if later:
+                yield frame(later, True)
+            if len(known) > KNOWN_RUNS:
+                yield first_ones()
+    yield first_ones()
 
 
 OFFSETS = "array<struct<start:int,end:int>>"
-RUNS = "__id long, __hash long, first int, end int, run long"
+RUNS = "run long, key long, at long, end int, later boolean"
+
+
+def document_key(doc_id: Column) -> Column:
+    """The id; for rows without one, a number behind any usual id, from the text's hash."""
+    unnamed = F.shiftrightunsigned("__hash", 2).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(doc_id.cast("long"), unnamed)
 
 
 def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,26 +156,30 @@ def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def repeated_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (id, text hash, spans): the runs of each text that are not the first of their kind.
+    """Rows (key, mark, spans): the runs of each text that are not the first of their kind.
 
-    Of equal runs the one in the smallest doc_id (NULLs last), then by text hash
-    and place, is the first.  A run found in a third of all texts is one row per
-    task before the shuffle, and the join back is one that adaptive execution
-    splits.
+    Of equal runs the one in the smallest doc_id (rows without one come last),
+    then at the earliest place, is the first.  Runs that a task has met before
+    are settled there; the others are shuffled once, by run, and a run found in a
+    third of all texts is one row per task by then.
     """
-    named = docs.select(
-        F.col(doc_id).cast("long").alias("__id"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text")
-    )
+    named = keyed(docs, doc_id, text).select("__key", "__mark", "__text")
     runs = write_shared(named.mapInPandas(run_batches, RUNS), "runs")
-    place = F.struct(F.col("__id").isNull().alias("unnamed"), "__id", "__hash", "first")
-    known = runs.groupBy("run").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    own = (
-        F.col("__id").eqNullSafe(F.col("kept.__id"))
-        & (F.col("__hash") == F.col("kept.__hash"))
-        & (F.col("first") == F.col("kept.first"))
-    )
-    later = runs.join(known, "run").filter(~own)
-    return later.groupBy("__id", "__hash").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    order = Window.partitionBy("run").orderBy("key", "at")
+    # Rows alike in id and text may come from two tasks: they are one place.
+    place = F.dense_rank().over(order)
+    far = runs.filter("NOT later").select("run", "key", "at", "end").withColumn("place", place).filter("place > 1")
+    later = runs.filter("later").select("key", "at", "end").unionByName(far.select("key", "at", "end"))
+    mark, first = F.col("at").bitwiseAND(F.lit(MARK)), F.shiftright("at", 32).cast("int")
+    spans = F.collect_set(F.struct(first.alias("first"), "end")).alias("spans")
+    return later.groupBy("key", mark.alias("mark")).agg(spans)
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Adds __key and __mark (32 bits of the text's hash), which name a document, and __text."""
+    rows = docs.withColumn("__text", F.col(text)).withColumn("__hash", F.xxhash64("__text"))
+    rows = rows.withColumn("__key", document_key(F.col(doc_id)))
+    return rows.withColumn("__mark", F.col("__hash").bitwiseAND(F.lit(MARK))).drop("__hash")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,7 +189,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     in characters of the old text) and ``n_removed_sentences`` are added, replacing
     columns of these names.  A passage is a run of three or more consecutive
     sentences with 16 or more words; sentences covered by any run that occurred
-    before (by doc_id, then row, then place) go, also within one text.  Long
+    before (by doc_id, then place; rows without an id come last) go, also within one text.  Long
     sentences are cut into pieces, so texts without full stops have runs too.  A text of which nothing is left is empty, NULL stays NULL, texts too
     short for a run stay as they are, and an empty table gives no rows.
 
@@ -158,9 +198,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spans = repeated_runs(docs, doc_id, text)
     others = [c for c in docs.columns if c not in ("removed", "n_removed_sentences")]
     kept = F.struct(*[F.col(f"`{c}`") for c in others if c != text]).alias("__kept")
-    rows = docs.select(kept, F.col(doc_id).cast("long").alias("own_id"), F.col(text).alias("__text"))
-    rows = rows.withColumn("own_hash", F.xxhash64("__text"))
-    same = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_hash") == F.col("__hash"))
+    rows = keyed(docs.select(kept, F.col(doc_id).alias("__id"), F.col(text).alias("__t")), "__id", "__t")
+    same = (F.col("__key") == F.col("key")) & (F.col("__mark") == F.col("mark"))
     joined = rows.join(spans, same, "left").select("__kept", "__text", "spans")
     schema = joined.select(
         "__kept", F.col("__text").alias("__cut"), F.expr(f"cast(NULL AS {OFFSETS})").alias("removed"),
