@@ -53,6 +53,80 @@ def test_csv_problems_are_named(spark, tmp_path):
         read_csv(spark, str(file), "id BIGINT, name STRING")
 
 
+def test_headers_are_checked_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,first,last\n1,Ann,Lee\n")
+    (tmp_path / "b.csv").write_text("id,last,first\n2,Ray,Bob\n")
+    for multi_line in (True, False):
+        rows = read_csv(spark, str(tmp_path), "id BIGINT, first STRING, last STRING", multi_line=multi_line)
+        with pytest.raises(Exception, match="header|Header"):
+            rows.collect()
+
+
+def test_bad_records_are_errors_or_kept(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text(
+        "id,day,at,amount,ok,n\n12.0,2024-05-01,2024-05-01 10:00:00,1.5,TRUE,41.0\n"
+        "x,05/01/2024,2024-05-01,1e3,maybe,4.5\n3,,,,,\n4,2024-05-01,2024-05-01,1,true\n"
+        '5,"",2024-05-01,2,false,1,extra\n'
+    )
+    schema = "id BIGINT, day DATE, at TIMESTAMP, amount DOUBLE, ok BOOLEAN, n INT"
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="bad record in .*t.csv"):
+            read_csv(spark, str(file), schema, multi_line).select("amount").collect()
+        rows = read_csv(spark, str(file), schema, multi_line, keep_bad=True).collect()
+        good, odd, empty, short, long = rows
+        assert (good.id, good.day, good.amount, good.ok, good.n) == (12, dt.date(2024, 5, 1), 1.5, True, 41)
+        assert good._bad_record is None and empty._bad_record is None and empty.id == 3
+        assert odd.amount == 1000.0 and odd.id is odd.day is odd.ok is odd.n is None
+        assert odd._bad_record == "id=x; day=05/01/2024; ok=maybe; n=4.5"
+        assert short.id == 4 and "4,2024-05-01" in short._bad_record
+        assert "extra" in long._bad_record
+
+
+def test_a_run_counts_bad_records(spark, tmp_path):
+    tables = {name: spark.createDataFrame([], schema) for name, schema in SCHEMAS.items()}
+    names = [column.split()[0] for column in SCHEMAS["promotions"].split(",")]
+    file = tmp_path / "promotions.csv"
+    file.write_text(",".join(names) + "\n" + "1.0" + "," * (len(names) - 1) + "\nnone" + "," * (len(names) - 1) + "\n")
+    tables["promotions"] = read_csv(spark, str(file), SCHEMAS["promotions"], keep_bad=True)
+    with pytest.raises(ValueError, match="1 bad records, 0 are allowed"):
+        run_pipeline(spark, tables, str(tmp_path / "a"))
+    rows = run_pipeline(spark, tables, str(tmp_path / "b"), bad_records=1).collect()
+    told = {r.metric: r.value for r in rows if r.table_name == "wide_promotions"}
+    counts = {"rows_initial": 2, "rows_cleaned": 1, "rows_final": 1, "duplicates_removed": 1, "bad_records": 1}
+    assert {k: told[k] for k in counts} == counts
+
+
+def test_large_files_are_read_by_several_tasks(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text("id\n" + "\n".join(map(str, range(200_000))) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert read_csv(spark, str(file), "id BIGINT", multi_line=False).rdd.getNumPartitions() > 3
+        assert read_csv(spark, str(file), "id BIGINT").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_orders_by_month_are_pruned(spark):
+    root = registered.run_folder(spark, SF)
+    stored = spark.read.parquet(parquet.fact_path(root, "fact_orders"))
+    some = stored.filter("order_year = 1996 AND order_month = 2")
+    assert "PartitionFilters: [isnotnull(order_year" in some._jdf.queryExecution().executedPlan().toString()
+    dated = stored.filter(F.year("order_date") == 1996).filter(F.month("order_date") == 2)
+    assert some.count() == dated.count() > 0
+
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, tmp_path):
+    from pathlib import Path
+
+    folder = Path(session.shared_dir(spark)) / "tillstar"
+    before = set(folder.glob("*"))
+    tables = {name: source_table(spark, SF, name) for name in TABLES}
+    run_pipeline(spark, tables, str(tmp_path / "out"), registered.AS_OF)
+    assert set(folder.glob("*")) <= before
+
+
 def test_csv_may_be_split(spark, tmp_path):
     file = tmp_path / "t.csv"
     file.write_text("id\n" + "\n".join(map(str, range(1000))) + "\n")
@@ -76,7 +150,7 @@ def test_command_line(spark, tmp_path, capsys):
     root = str(tmp_path / "out")
     main(["--source", folder, "--root", root, "--as-of", "2001-01-01", "--first-date", "1995-01-01"])
     assert "fact_order_items" in capsys.readouterr().out
-    assert spark.read.parquet(parquet.fact_path(root, "fact_orders")).count() == 1500
+    assert spark.read.parquet(parquet.fact_path(root, "fact_orders")).count() == 1455  # of 1,500, 30 repeat an id and 15 have none
 
 
 def test_extract_all_reads_twelve_tables(spark):
@@ -163,6 +237,8 @@ def test_jdbc_overwrites_and_appends(spark):
     assert jdbc.write_table(df.filter("even"), MEMORY, "t1") == 3
     jdbc.write_table(df, MEMORY, "t1", mode="append")
     assert jdbc.read_table(spark, MEMORY, "t1").count() == 8
+    spread = jdbc.read_table(spark, MEMORY, "t1", spread_by="id")
+    assert spread.rdd.getNumPartitions() == 2 and spread.count() == 8
 
 
 def test_run_writes_everything_twice_the_same(spark, tmp_path):

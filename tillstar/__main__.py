@@ -6,6 +6,8 @@ import argparse
 import datetime as dt
 import os
 
+from pyspark.sql import SparkSession
+
 from tillstar.functions import AsOf
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.session import get_session
@@ -22,9 +24,12 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--first-date", default=FIRST_DATE)
     parser.add_argument("--last-date", default=LAST_DATE)
     parser.add_argument(
-        "--single-line",
+        "--multi-line",
         action="store_true",
-        help="no field holds a line break, so that large files may be split",
+        help="fields may hold line breaks; a file is then read by one task",
+    )
+    parser.add_argument(
+        "--bad-records", type=int, default=0, help="records of a table that may be unreadable in part"
     )
     parser.add_argument("--skip-corrupt", action="store_true", help="leave out unreadable files")
     parser.add_argument("--jdbc-url", help="also load dimensions and facts into this database")
@@ -41,13 +46,24 @@ def main(arguments: list[str] | None = None) -> None:
         }
         database = Database(given.jdbc_url, {k: v for k, v in login.items() if v})
 
+    shared = SparkSession.getActiveSession() is not None  # someone else's: theirs to stop
     spark = get_session()
-    tables = extract_all(
-        spark, given.source, multi_line=not given.single_line, skip_corrupt=given.skip_corrupt
-    )
-    dates = build_dim_date(spark, given.first_date, given.last_date)
-    written = run_pipeline(spark, tables, given.root, AsOf(given.as_of), dates, database)
-    written.orderBy("table_name", "metric").show(written.count(), truncate=False)
+    try:
+        tables = extract_all(
+            spark,
+            given.source,
+            multi_line=given.multi_line,
+            skip_corrupt=given.skip_corrupt,
+            keep_bad=True,
+        )
+        dates = build_dim_date(spark, given.first_date, given.last_date)
+        written = run_pipeline(
+            spark, tables, given.root, AsOf(given.as_of), dates, database, given.bad_records
+        )
+        written.orderBy("table_name", "metric").show(written.count(), truncate=False)
+    finally:
+        if not shared:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.functions import AsOf
 from tillstar.operators.quality import flag_counts
 from tillstar.operators.rules import transform
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact
 from tillstar.plans.tables import TABLES
-from tillstar.session import side_by_side
+from tillstar.session import scratch, side_by_side
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
-from tillstar.sources.csv import extract_all
+from tillstar.sources.csv import BAD_RECORD, extract_all
 
 ORDERS = "fact_orders"
 
@@ -26,6 +27,8 @@ def run_pipeline(
     as_of: AsOf = AsOf(),
     dim_date: DataFrame | None = None,
     database: jdbc.Database | None = None,
+    bad_records: int = 0,
+    facts_partitioned_by: Mapping[str, Sequence[str]] = {},
 ) -> DataFrame:
     """Build everything under ``root`` and return rows (table_name, metric, value).
 
@@ -34,45 +37,71 @@ def run_pipeline(
     nothing is computed twice: dimensions and facts scan only the wide columns
     they hold, and the facts that need order keys read two columns of the
     written order fact.  Row and flag counts come out of the writes.
+
+    CSV files are read in splits, without line breaks in fields; pass
+    ``extract_all(spark, folder, keep_bad=True)`` for files that have some.  More
+    than ``bad_records`` bad records in a table are an error once it is written.
+    ``facts_partitioned_by`` lays facts out by columns, such as ``fact_orders`` by
+    ``order_year`` and ``order_month`` (added then from its date).
     """
-    raw = extract_all(spark, source) if isinstance(source, str) else source
+    raw = extract_all(spark, source, multi_line=False, keep_bad=True) if isinstance(source, str) else source
     wide: dict[str, DataFrame] = {}
 
     def keep_wide(name: str) -> dict[str, int]:
-        rules = TABLES[name]
-        df = transform(raw[name], rules, as_of)
+        rules, seen = TABLES[name], Observation()
+        rows, bad = raw[name], F.lit(0).cast("bigint")
+        if BAD_RECORD in rows.columns:
+            bad = F.count(BAD_RECORD)
+        counted = [F.count(F.lit(1)).alias("rows_initial"), bad.alias("bad_records")]
+        df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
         counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
         wide[name] = spark.read.schema(df.schema).parquet(parquet.wide_path(root, name))
-        return counts
+        # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
+        source = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
+        return counts | row_counts(source, counts["rows"])
 
-    star: dict[str, DataFrame] = {}
+    def row_counts(seen: dict[str, int], rows: int) -> dict[str, int]:
+        if seen["bad_records"] > bad_records:
+            raise ValueError(f"{seen['bad_records']} bad records, {bad_records} are allowed")
+        removed = seen["rows_initial"] - rows
+        return seen | {"rows_cleaned": rows, "rows_final": rows, "duplicates_removed": removed}
 
-    def keep(name: str, df: DataFrame, path: str) -> dict[str, int]:
-        counts = parquet.write_parquet(df, path)
-        star[name] = spark.read.schema(df.schema).parquet(path)
-        return counts
+    star: dict[str, DataFrame] = {}
 
     def keep_dimension(name: str) -> dict[str, int]:
         if name == "dim_date":
             df = build_dim_date(spark) if dim_date is None else dim_date
         else:
             df = build_dimension(name, wide[DIMENSIONS[name].table])
-        return keep(name, df, parquet.dimension_path(root, name))
+        counts = parquet.load_dimension(df, root, name)
+        star[name] = spark.read.schema(df.schema).parquet(parquet.dimension_path(root, name))
+        return counts
 
     def keep_fact(name: str) -> dict[str, int]:
         df = build_fact(name, wide[FACTS[name].table], star)
-        return keep(name, df, parquet.fact_path(root, name))
+        layout = list(facts_partitioned_by.get(name, ()))
+        if name == ORDERS and layout:
+            day = F.col("order_date")
+            parts = {"order_year": F.year(day), "order_month": F.month(day)}
+            df = df.withColumns({c: parts[c] for c in layout if c in parts})
+        counts = parquet.load_fact(df, root, name, layout)
+        star[name] = spark.read.schema(df.schema).parquet(parquet.fact_path(root, name)).drop(
+            "order_year", "order_month"
+        )
+        return counts
 
-    loaded = side_by_side(keep_wide, TABLES)
-    written = {f"wide_{name}": counts for name, counts in loaded.items()}
-    written |= side_by_side(keep_dimension, ["dim_date", *DIMENSIONS])
-    written |= side_by_side(keep_fact, [ORDERS])
-    written |= side_by_side(keep_fact, [name for name in FACTS if name != ORDERS])
+    with scratch(spark):  # keys and ids on their way; all that stays is under ``root``
+        loaded = side_by_side(keep_wide, TABLES)
+        written = {f"wide_{name}": counts for name, counts in loaded.items()}
+        written |= side_by_side(keep_dimension, ["dim_date", *DIMENSIONS])
+        written |= side_by_side(keep_fact, [ORDERS])
+        written |= side_by_side(keep_fact, [name for name in FACTS if name != ORDERS])
 
     if database is not None:
         dimensions = {n: df for n, df in star.items() if n.startswith("dim_")}
         facts = {n: df for n, df in star.items() if n in FACTS}
-        jdbc.load_warehouse(dimensions, facts, database)
+        for name, rows in jdbc.load_warehouse(dimensions, facts, database).items():
+            written[name] = written[name] | {"database_rows": rows}
 
     rows = [
         (table, metric, int(value))

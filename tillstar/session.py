@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
+SCRATCH_CONF = "tillstar.scratch.dir"
 AT_ONCE = 4  # tables built together, so that small ones do not wait in line
 
 T = TypeVar("T")
 
-# What the jobs here rely on.  Anything the caller or the cluster already set
-# (master, memory, shuffle partitions, jars) is left alone.
+# What the jobs here rely on; they are set whatever spark-defaults say.  Master,
+# memory, shuffle partitions and jars are left to the caller and the cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -61,8 +63,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other call has been given."""
-    return f"{shared_dir(spark)}/tillstar/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder (or the present :func:`scratch`) that no other call has been given."""
+    folder = spark.conf.get(SCRATCH_CONF, None) or f"{shared_dir(spark)}/tillstar"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """While it lasts, new paths lie in one folder, which is removed at its end."""
+    folder, before = new_path(spark, "scratch"), spark.conf.get(SCRATCH_CONF, None)
+    spark.conf.set(SCRATCH_CONF, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(SCRATCH_CONF)
+        else:
+            spark.conf.set(SCRATCH_CONF, before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_shared(df: DataFrame, label: str) -> DataFrame:

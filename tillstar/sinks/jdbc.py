@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -41,12 +42,30 @@ def write_table(df: DataFrame, database: Database, name: str, mode: str = "overw
         query = database.properties | {"url": database.url, "query": count}
         (stored,) = df.sparkSession.read.format("jdbc").options(**query).load().first()
         if int(stored) != rows:
+            # Nobody should read a table that is known to be wrong.
+            empty = df.limit(0).write.format("jdbc").options(**database.options(), dbtable=name)
+            empty.mode("overwrite").save()
             raise RuntimeError(f"{name} holds {stored} rows, {rows} were sent; load it again")
     return rows
 
 
-def read_table(spark: SparkSession, database: Database, name: str) -> DataFrame:
-    return spark.read.format("jdbc").options(**database.options(), dbtable=name).load()
+def read_table(
+    spark: SparkSession, database: Database, name: str, spread_by: str | None = None
+) -> DataFrame:
+    """A stored table; ``spread_by``, a number or date column, lets several tasks read it.
+
+    Its bounds are asked first, and each of ``connections`` tasks reads a stretch.
+    Without it the table is read by one task.
+    """
+    options = database.options() | {"dbtable": name}
+    whole = spark.read.format("jdbc").options(**options).load()
+    if spread_by is None:
+        return whole
+    low, high = whole.agg(F.min(spread_by), F.max(spread_by)).first()
+    if low is None or low == high:
+        return whole
+    bounds = {"partitionColumn": spread_by, "lowerBound": str(low), "upperBound": str(high)}
+    return spark.read.format("jdbc").options(**options, **bounds).load()
 
 
 def load_warehouse(

@@ -58,9 +58,13 @@ def wide_path(root: str, name: str) -> str:
 
 
 def load_processed(
-    df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    observe: Sequence[Column] = (),
 ) -> dict[str, int]:
-    return write_parquet(df, processed_path(root, name), partition_by)
+    return write_parquet(df, processed_path(root, name), partition_by, observe)
 
 
 def load_dimension(df: DataFrame, root: str, name: str) -> dict[str, int]:
@@ -68,16 +72,21 @@ def load_dimension(df: DataFrame, root: str, name: str) -> dict[str, int]:
 
 
 def load_fact(
-    df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    observe: Sequence[Column] = (),
 ) -> dict[str, int]:
-    return write_parquet(df, fact_path(root, name), partition_by)
+    return write_parquet(df, fact_path(root, name), partition_by, observe)
 
 
 def load_wide(
     df: DataFrame, root: str, name: str, observe: Sequence[Column] = ()
 ) -> dict[str, int]:
     """Write one wide table to its place; ``orders`` by year and month."""
-    return write_parquet(df, wide_path(root, name), PARTITIONED_BY.get(name, ()), observe)
+    load = load_processed if name in PROCESSED else load_fact
+    return load(df, root, name, PARTITIONED_BY.get(name, ()), observe)
 
 
 def load_all(wide: Mapping[str, DataFrame], root: str) -> dict[str, dict[str, int]]:

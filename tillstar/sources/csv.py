@@ -1,14 +1,44 @@
-"""Headered CSV files read against declared schemas."""
+"""Headered CSV files read against declared schemas, without losing a value silently."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.session import side_by_side
 from tillstar.sources.schemas import SCHEMAS
 
+# Text column that tells what could not be read of a record; NULL in good ones.
+BAD_RECORD = "_bad_record"
+
+
+def _whole_number(kind: str) -> Callable[[Column], Column]:
+    """Whole numbers, also as exports of nullable columns write them (``12.0``)."""
+    return lambda text: F.regexp_replace(text, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind)
+
+
+def _boolean(text: Column) -> Column:
+    word = F.lower(text)
+    return F.when(word == "true", True).when(word == "false", False)
+
+
+PARSERS: dict[str, Callable[[Column], Column]] = {
+    "bigint": _whole_number("bigint"),
+    "int": _whole_number("int"),
+    "boolean": _boolean,
+}
+
+
+def _parsed(name: str, kind: T.DataType) -> Column:
+    """A column's value; NULL where its text says nothing or something else."""
+    text = F.trim(F.col(f"`{name}`"))
+    parse = PARSERS.get(kind.simpleString(), lambda c: c.try_cast(kind))
+    return F.when(text != "", parse(text))
+
 
 def read_csv(
     spark: SparkSession,
@@ -16,13 +46,20 @@ def read_csv(
     schema: str,
     multi_line: bool = True,
     skip_corrupt: bool = False,
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Read one headered CSV file, or a folder of them, by column name.
 
-    Columns may stand in any order; those not in ``schema`` come along as text.
-    ``multi_line`` allows line breaks inside quoted fields, which keeps Spark
-    from splitting a file: turn it off for large files that have none.
-    ``skip_corrupt`` leaves out files that cannot be read.
+    Columns may stand in any order, the same in all files of a folder: every
+    file's header is checked, and one that differs is an error.  Columns not in
+    ``schema`` come along as text.  ``multi_line`` allows line breaks inside
+    quoted fields, which keeps Spark from splitting a file: turn it off for
+    files that have none.  ``skip_corrupt`` leaves out files that cannot be read.
+
+    A value that is no such number, date or boolean, and a record with too many
+    or too few fields, make a bad record.  Reading one is an error; with
+    ``keep_bad`` it stays, with NULL for the value, and ``_bad_record`` holds the
+    values in question or the whole record.  ``12.0`` is a whole number.
     """
     plain = {"header": True, "escape": '"', "ignoreCorruptFiles": skip_corrupt}
     try:
@@ -31,16 +68,38 @@ def read_csv(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
-    declared = {f.name: f for f in T.StructType.fromDDL(schema)}
+    declared = {f.name: f.dataType for f in T.StructType.fromDDL(schema)}
     missing = [name for name in declared if name not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    found = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
-    return spark.read.schema(found).options(**plain, multiLine=multi_line).csv(path)
+
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*header, BAD_RECORD]])
+    options = plain | {
+        "multiLine": multi_line,
+        "enforceSchema": False,
+        "columnNameOfCorruptRecord": BAD_RECORD,
+    }
+    raw = spark.read.schema(texts).options(**options).csv(path)
+
+    typed = {n: kind for n, kind in declared.items() if not isinstance(kind, T.StringType)}
+    values = {n: _parsed(n, kind) for n, kind in typed.items()}
+    unread = [
+        F.when((F.trim(F.col(f"`{n}`")) != "") & value.isNull(), F.concat(F.lit(f"{n}="), F.col(f"`{n}`")))
+        for n, value in values.items()
+    ]
+    told = F.nullif(F.concat_ws("; ", *unread), F.lit("")) if unread else F.lit(None)
+    rows = raw.select(
+        *(values[n].alias(n) if n in values else F.col(f"`{n}`") for n in header),
+        F.coalesce(F.col(BAD_RECORD), told.cast("string")).alias(BAD_RECORD),
+    )
+    if keep_bad:
+        return rows
+    bad = F.raise_error(F.concat(F.lit(f"bad record in {path}: "), F.col(BAD_RECORD))).cast("boolean")
+    return rows.filter(F.when(F.col(BAD_RECORD).isNull(), True).otherwise(bad)).drop(BAD_RECORD)
 
 
 def extract_all(spark: SparkSession, folder: str, **options: bool) -> dict[str, DataFrame]:
-    """The twelve source tables, each from ``<folder>/<table>.csv``."""
+    """The twelve source tables, each from ``<folder>/<table>.csv``, a file or a folder of files."""
     folder = folder.rstrip("/")
     return side_by_side(
         lambda name: read_csv(spark, f"{folder}/{name}.csv", SCHEMAS[name], **options), SCHEMAS
