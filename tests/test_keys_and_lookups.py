@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle import DATA
-from tillstar.operators import add_dense_key, add_group_size, dedupe, flag_unique, look_up
+from tillstar.operators import add_dense_key, add_group_size, dedupe, flag_unique, look_up, require
 from tillstar.operators.lookup import hot_keys, measure
 from tillstar.plans.star import build_fact
 from tillstar.verify import queries as registered
@@ -72,7 +72,8 @@ def test_copies_shrink_before_the_shuffle(spark):
 def test_filter_and_columns_reach_the_scan(spark):
     text = plan(registered.project_rename(spark, SF))
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_retailprice:double>" in text
-    text = plan(registered.wide_table(spark, SF, "returns"))
+    # The bindings compute their keys, so a stored column shows that the filter goes first.
+    text = plan(dedupe(require(registered.given(spark, SF, "orders"), ["o_orderkey"]), ["o_orderkey"]))
     assert "PushedFilters: [IsNotNull(o_orderkey)]" in text
 
 
@@ -179,6 +180,23 @@ def test_dedupe_agrees_with_plain_python(spark):
     assert kept == {k: row for k, (_, row) in first.items()}
 
 
+def test_even_keys_are_not_hot_however_many_partitions(spark):
+    even = spark.range(30_000).select((F.col("id") % 10_000).alias("k"))
+    assert hot_keys(even, F.col("k"), 20_000) == {}
+
+
+def test_one_pass_for_all_uniqueness_flags(spark):
+    text = plan(registered.wide_table(spark, SF, "products"))
+    assert text.split("\n\n")[0].count("Window (") <= 2
+
+
+def test_uniqueness_of_two_columns(spark):
+    rows = [(1, "a", 1.0), (2, "a", None), (3, None, 2.0), (4, "1.0", 2.0)]
+    flags = {"u": "a", "v": "b"}
+    found = flag_unique(spark.createDataFrame(rows, "id int, a string, b double"), "id", flags).collect()
+    assert {r.id: (r.u, r.v) for r in found} == {1: (False, True), 2: (False, True), 3: (True, False), 4: (True, False)}
+
+
 def test_parts_are_bounded(spark, skewed):
     hot = hot_keys(skewed, F.col("k"), 500)
     assert sum(n * len(keys) for n, keys in hot.items()) < 2 * 500

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
 VALUE_BYTES = 16  # counted per value, besides the text it holds
-SAMPLE_ROWS = 1_000_000
+SAMPLE_ROWS = 1_000_000  # counted to find hot keys, or so many per partition:
+SAMPLE_PER_PARTITION = 10
+LEAST_SAMPLED = 50  # sampled rows of a hot key; fewer may be chance
 
 
 def narrowed(dimension: DataFrame, match: str, take: Mapping[str, str]) -> DataFrame:
@@ -41,25 +43,38 @@ def hot_keys(rows: DataFrame, key: Column, partitions: int) -> dict[int, list]:
     A key with up to twice that many rows needs two parts, up to four times
     four, and so on; together that is fewer than twice ``partitions`` parts.
     Rows are counted on a sample of the key column of about ``SAMPLE_ROWS``
-    rows: the outcome decides how rows are spread, never which are kept.
+    rows (more with very many partitions), in which a hot key has at least
+    ``LEAST_SAMPLED``, so there are at most 20,000 hot keys, or a fifth of the
+    partitions.  The outcome decides how rows are spread, never which are kept.
     """
     total = rows.count()
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    share = min(1.0, max(SAMPLE_ROWS, SAMPLE_PER_PARTITION * partitions) / max(total, 1))
     keys = rows.select(key.alias("k")).filter("k IS NOT NULL")
     sampled = keys if share == 1.0 else keys.sample(share, seed=7)
     average = total * share / partitions
     hot: dict[int, list] = {}
-    for row in sampled.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > average).collect():
+    counts = sampled.groupBy("k").agg(F.count("*").alias("n"))
+    for row in counts.filter((F.col("n") > average) & (F.col("n") >= LEAST_SAMPLED)).collect():
         hot.setdefault(2 ** math.ceil(math.log2(row.n / average)), []).append(row.k)
     return hot
 
 
-def parts_of(key: Column, hot: Mapping[int, list]) -> Column:
-    """In how many parts the rows of a key are spread."""
-    parts = F.lit(1)
-    for n, keys in hot.items():
-        parts = F.when(key.isin(keys), n).otherwise(parts)
-    return parts
+def with_parts(rows: DataFrame, key: Column, hot: Mapping[int, list]) -> DataFrame:
+    """Add ``_parts``: in how many parts the rows of a key are spread.
+
+    The hot keys are a broadcast table, whose size ``hot_keys`` bounds.
+    """
+    if not hot:
+        return rows.withColumn("_parts", F.lit(1))
+    kind = rows.select(key.alias("k")).schema["k"].dataType
+    schema = T.StructType([T.StructField("_hot", kind), T.StructField("_hot_parts", T.IntegerType())])
+    listed = [(k, n) for n, keys in hot.items() for k in keys]
+    table = rows.sparkSession.createDataFrame(listed, schema)
+    return (
+        rows.join(F.broadcast(table), key == F.col("_hot"), "left")
+        .withColumn("_parts", F.coalesce("_hot_parts", F.lit(1)))
+        .drop("_hot", "_hot_parts")
+    )
 
 
 def look_up(
@@ -96,11 +111,10 @@ def look_up(
 
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(rows if keys_from is None else keys_from, on, partitions)
-    parts = F.when(on.isNull(), partitions).otherwise(parts_of(on, hot))
-    salt = F.pmod(F.xxhash64(spread_by), parts)
-    salts = F.sequence(F.lit(0), parts_of(F.col("_match"), hot) - 1)
-
-    left = rows.withColumn("_salt", salt)
-    right = narrow.withColumn("_of_salt", F.explode(salts)).hint("merge")
+    parts = F.when(on.isNull(), partitions).otherwise(F.col("_parts"))
+    left = with_parts(rows, on, hot).withColumn("_salt", F.pmod(F.xxhash64(spread_by), parts))
+    salts = F.sequence(F.lit(0), F.col("_parts") - 1)
+    right = with_parts(narrow, F.col("_match"), hot).withColumn("_of_salt", F.explode(salts))
+    left, right = left.drop("_parts"), right.drop("_parts").hint("merge")
     same = same_key & (F.col("_salt") == F.col("_of_salt"))
     return left.join(right, same, "left").select(*kept)

@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A value's rows are counted and joined in this many parts, so one value that
-# fills a third of the table is spread as well as any other data.
-PARTS = 4096
+# A value's rows are counted and joined in this many parts per shuffle partition,
+# so one value that fills a third of the table is spread as well as other data.
+PARTS_PER_PARTITION = 4
 
 
 def flag_unique(df: DataFrame, key: str, flags: Mapping[str, str]) -> DataFrame:
@@ -20,20 +20,24 @@ def flag_unique(df: DataFrame, key: str, flags: Mapping[str, str]) -> DataFrame:
     back on ``key``: the rows stay where the dedupe put them, and a frequent
     value has already shrunk to one row per map task.
     """
-    rows = df
-    for flag, column in flags.items():
-        singles = (
-            rows.groupBy(column)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_only"))
-            .filter(F.col("_n") == 1)
-            .select("_only")
-        )
-        df = (
-            df.join(singles, df[key] == singles["_only"], "left")
-            .withColumn(flag, F.col("_only").isNotNull())
-            .drop("_only")
-        )
-    return df
+    if not flags:
+        return df
+    values = [
+        F.struct(F.lit(flag).alias("flag"), F.col(column).cast("string").alias("value"))
+        for flag, column in flags.items()
+    ]
+    # All flags' values in one pass over the rows; text tells values of a type apart.
+    singles = (
+        df.select(F.col(key).alias("_key"), F.explode(F.array(*values)).alias("_at"))
+        .groupBy("_at.flag", "_at.value")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_only"))
+        .filter(F.col("_n") == 1)
+    )
+    marks = [F.max(F.col("flag") == flag).alias(f"_{i}") for i, flag in enumerate(flags)]
+    marked = singles.groupBy("_only").agg(*marks)
+    rows = df.join(marked, F.col(key) == F.col("_only"), "left")
+    named = {flag: F.coalesce(f"_{i}", F.lit(False)) for i, flag in enumerate(flags)}
+    return rows.withColumns(named).drop("_only", *(f"_{i}" for i in range(len(flags))))
 
 
 def add_group_size(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
@@ -41,9 +45,10 @@ def add_group_size(df: DataFrame, key: str, column: str, name: str) -> DataFrame
 
     Counts run in two steps, per (value, part) and then over the parts, and
     rows join on both.  Parts come from ``key``, so no task sees a whole hot
-    value; a value has at most ``PARTS`` rows in the second step.
+    value; in the second step a value has at most one row per part.
     """
-    part = F.pmod(F.xxhash64(key), F.lit(PARTS))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS_PER_PARTITION * partitions))
     df = df.withColumn("_part", part)
     sizes = (
         df.groupBy(F.col(column).alias("_value"), F.col("_part").alias("_in_part"))

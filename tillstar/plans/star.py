@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.keys import add_dense_key, number_keys
 from tillstar.operators.lookup import BROADCAST_BYTES, look_up, measure, narrowed
+from tillstar.session import write_shared
 
 
 @dataclass(frozen=True)
@@ -241,6 +242,8 @@ def build_fact(
     first = sorted(ids) if apart else [*sorted(ids), *measures]
     rows = add_dense_key(wide.select(*first), layout.natural, layout.key)
     for lookup, size in zip(layout.lookups, sizes):
+        if size > broadcast_bytes and lookup.on not in wide.columns:
+            rows = write_shared(rows, name)  # a chained lookup counts these ids before it joins them
         rows = look_up(
             rows,
             tables[lookup.dimension],
