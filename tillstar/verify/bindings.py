@@ -42,7 +42,7 @@ SOURCES = {
     """,
     "employees": """
         SELECT
-            CAST(s_suppkey AS BIGINT) AS employee_id,
+            CAST(CASE WHEN s_suppkey % 97 = 96 THEN NULL WHEN s_suppkey % 50 = 49 THEN s_suppkey - 1 ELSE s_suppkey END AS BIGINT) AS employee_id,
             CAST(CASE WHEN s_suppkey % 15 = 0 THEN NULL ELSE lower(s_name) END AS STRING) AS first_name,
             CAST(' last ' || CAST(s_suppkey AS STRING) AS STRING) AS last_name,
             CAST(CASE s_suppkey % 4 WHEN 0 THEN 'male ' WHEN 1 THEN 'FEMALE' WHEN 2 THEN 'other' WHEN 3 THEN 'x' END AS STRING) AS gender,
@@ -59,7 +59,7 @@ SOURCES = {
     """,
     "inventory": """
         SELECT
-            CAST(p_partkey AS BIGINT) AS inventory_id,
+            CAST(CASE WHEN p_partkey % 97 = 96 THEN NULL WHEN p_partkey % 50 = 49 THEN p_partkey - 1 ELSE p_partkey END AS BIGINT) AS inventory_id,
             CAST(CASE WHEN p_partkey % 27 > 24 THEN -1 ELSE p_partkey % 130 END AS BIGINT) AS store_id,
             CAST(CASE WHEN p_partkey % 79 = 1 THEN NULL ELSE p_partkey END AS BIGINT) AS product_id,
             CAST(CASE WHEN p_partkey % 20 = 0 THEN 0 WHEN p_partkey % 83 = 0 THEN -1 ELSE p_partkey * 3 % 150 END AS INT) AS quantity_on_hand,
@@ -82,7 +82,7 @@ SOURCES = {
     """,
     "orders": """
         SELECT
-            CAST(o_orderkey AS BIGINT) AS order_id,
+            CAST(CASE WHEN o_orderkey % 97 = 96 THEN NULL WHEN o_orderkey % 50 = 49 THEN o_orderkey - 1 ELSE o_orderkey END AS BIGINT) AS order_id,
             CAST(CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS BIGINT) AS customer_id,
             CAST(CASE WHEN o_orderkey % 27 > 24 THEN -1 ELSE o_orderkey % 130 END AS BIGINT) AS store_id,
             CAST(o_orderkey % 103 AS BIGINT) AS employee_id,
@@ -97,7 +97,7 @@ SOURCES = {
     """,
     "payments": """
         SELECT
-            CAST(o_orderkey AS BIGINT) AS payment_id,
+            CAST(CASE WHEN o_orderkey % 97 = 96 THEN NULL WHEN o_orderkey % 50 = 49 THEN o_orderkey - 1 ELSE o_orderkey END AS BIGINT) AS payment_id,
             CAST(CASE WHEN o_orderkey % 61 = 1 THEN NULL ELSE o_orderkey + o_orderkey % 2 END AS BIGINT) AS order_id,
             CAST(o_orderdate AS TIMESTAMP) AS payment_date,
             CAST(CASE o_orderpriority WHEN '1-URGENT' THEN ' upi' WHEN '2-HIGH' THEN 'Card' WHEN '3-MEDIUM' THEN 'cash ' WHEN '4-NOT SPECIFIED' THEN 'net banking' ELSE 'cheque' END AS STRING) AS payment_method,
@@ -108,7 +108,7 @@ SOURCES = {
     """,
     "products": """
         SELECT
-            CAST(CASE WHEN p_partkey % 89 = 88 THEN NULL ELSE p_partkey END AS BIGINT) AS product_id,
+            CAST(CASE WHEN p_partkey % 89 = 88 THEN NULL WHEN p_partkey % 50 = 49 THEN p_partkey - 1 ELSE p_partkey END AS BIGINT) AS product_id,
             CAST(CASE WHEN p_partkey % 41 = 0 THEN NULL ELSE ' ' || upper(p_name) END AS STRING) AS product_name,
             CAST('SKU' || CAST(CASE WHEN p_partkey % 30 = 1 THEN p_partkey - 1 ELSE p_partkey END AS STRING) AS STRING) AS sku,
             CAST(CASE WHEN p_partkey % 43 = 0 THEN NULL ELSE '00' || CAST(890000000000 + p_partkey AS STRING) END AS STRING) AS barcode,
@@ -128,7 +128,7 @@ SOURCES = {
     """,
     "promotions": """
         SELECT
-            CAST(p_partkey AS BIGINT) AS promotion_id,
+            CAST(CASE WHEN p_partkey % 97 = 96 THEN NULL WHEN p_partkey % 50 = 49 THEN p_partkey - 1 ELSE p_partkey END AS BIGINT) AS promotion_id,
             CAST(CASE WHEN p_partkey % 25 = 3 THEN NULL ELSE ' Promo ' || p_name END AS STRING) AS promotion_name,
             CAST(CASE p_partkey % 4 WHEN 0 THEN 'percentage' WHEN 1 THEN ' FLAT' WHEN 2 THEN 'buy one get one' WHEN 3 THEN 'mystery' END AS STRING) AS promotion_type,
             CAST(CASE WHEN p_partkey % 16 = 0 THEN 120 ELSE p_size END AS DOUBLE) AS discount_value,
@@ -142,7 +142,7 @@ SOURCES = {
     """,
     "returns": """
         SELECT
-            CAST(o_orderkey AS BIGINT) AS return_id,
+            CAST(CASE WHEN o_orderkey % 97 = 96 THEN NULL WHEN o_orderkey % 50 = 49 THEN o_orderkey - 1 ELSE o_orderkey END AS BIGINT) AS return_id,
             CAST(CASE WHEN o_orderkey % 190 = 0 THEN -1 ELSE o_orderkey END AS BIGINT) AS order_id,
             CAST(CASE WHEN o_orderkey % 170 = 10 THEN NULL ELSE o_orderkey % 2000 END AS BIGINT) AS product_id,
             CAST(CAST(o_orderdate AS DATE) + 20 AS DATE) AS return_date,
@@ -153,7 +153,7 @@ SOURCES = {
     """,
     "shipments": """
         SELECT
-            CAST(o_orderkey AS BIGINT) AS shipment_id,
+            CAST(CASE WHEN o_orderkey % 97 = 96 THEN NULL WHEN o_orderkey % 50 = 49 THEN o_orderkey - 1 ELSE o_orderkey END AS BIGINT) AS shipment_id,
             CAST(CASE WHEN o_orderkey % 91 = 2 THEN -1 ELSE o_orderkey END AS BIGINT) AS order_id,
             CAST(CASE WHEN o_orderkey % 83 = 1 THEN NULL WHEN o_orderkey % 27 > 24 THEN -1 ELSE o_orderkey % 130 END AS BIGINT) AS store_id,
             CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INT) AS DATE) AS shipment_date,
@@ -165,7 +165,7 @@ SOURCES = {
     """,
     "stores": """
         SELECT
-            CAST(s_suppkey AS BIGINT) AS store_id,
+            CAST(CASE WHEN s_suppkey % 97 = 96 THEN NULL WHEN s_suppkey % 50 = 49 THEN s_suppkey - 1 ELSE s_suppkey END AS BIGINT) AS store_id,
             CAST(CASE WHEN s_suppkey % 25 = 7 THEN NULL ELSE ' Store ' || n_name END AS STRING) AS store_name,
             CAST(CASE s_suppkey % 6 WHEN 0 THEN 'Express Store' WHEN 1 THEN 'supermarket ' WHEN 2 THEN 'HYPERMARKET' WHEN 3 THEN 'Wholesale' WHEN 4 THEN 'Kiosk' WHEN 5 THEN NULL END AS STRING) AS store_type,
             CAST(CASE s_suppkey % 4 WHEN 0 THEN 'active' WHEN 1 THEN 'Inactive ' WHEN 2 THEN 'under maintenance' WHEN 3 THEN 'closed' END AS STRING) AS status,
@@ -182,7 +182,7 @@ SOURCES = {
     """,
     "suppliers": """
         SELECT
-            CAST('SUP' || lpad(CAST(s_suppkey AS STRING), 5, '0') AS STRING) AS supplier_id,
+            CAST(CASE WHEN s_suppkey % 97 = 96 THEN NULL ELSE 'SUP' || lpad(CAST(CASE WHEN s_suppkey % 50 = 49 THEN s_suppkey - 1 ELSE s_suppkey END AS STRING), 5, '0') END AS STRING) AS supplier_id,
             CAST(CASE WHEN s_suppkey % 33 = 5 THEN NULL ELSE ' ' || s_name END AS STRING) AS supplier_name,
             CAST(CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE 'mr ' || s_name END AS STRING) AS contact_person,
             CAST(CASE WHEN s_suppkey % 8 = 0 THEN 'nope' ELSE 'S' || CAST(s_suppkey AS STRING) || '@Sup.io' END AS STRING) AS email,

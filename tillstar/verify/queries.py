@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions import AsOf, standardise
@@ -29,8 +29,8 @@ from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact,
 from tillstar.plans.tables import TABLES
 from tillstar.session import is_local, new_path, side_by_side, write_shared
 from tillstar.sinks import jdbc, parquet
-from tillstar.sources.calendar import days, describe_days
-from tillstar.sources.csv import extract_all, read_csv
+from tillstar.sources.calendar import build_dim_date
+from tillstar.sources.csv import BAD_RECORD, extract_all, read_csv
 from tillstar.sources.schemas import SCHEMAS
 from tillstar.verify.bindings import given, source_table
 
@@ -57,7 +57,8 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = given(spark, sf_dir, "orders").agg(
         first.alias("first"), F.date_sub(last, 31).alias("last")
     )
-    return describe_days(days(bounds, "first", "last"))
+    limits = bounds.first()
+    return build_dim_date(spark, str(limits["first"]), str(limits["last"]))
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,13 +113,48 @@ def csv_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that are no numbers or dates stay as bad records; ``12.0`` is 12."""
+    path = new_path(spark, "dirty.csv")
+    id_, day = F.col("customer_id"), F.col("registration_date")
+    dirty = source_table(spark, sf_dir, "customers").select(
+        F.when(id_ % 10 == 3, F.concat(id_.cast("string"), F.lit(".0"))).otherwise(id_.cast("string")).alias("customer_id"),
+        F.when(id_ % 31 == 5, F.date_format(day, "dd/MM/yyyy")).otherwise(day.cast("string")).alias("registration_date"),
+        F.when(id_ % 29 == 4, F.lit("n/a")).otherwise(F.col("loyalty_points").cast("string")).alias("loyalty_points"),
+    )
+    write_csv(dirty, path)
+    schema = "customer_id BIGINT, registration_date DATE, loyalty_points INT"
+    rows = read_csv(spark, path, schema, multi_line=False, keep_bad=True)
+    return rows.withColumnRenamed(BAD_RECORD, "bad_record")
+
+
+def column_total(df: DataFrame, column: str) -> Column:
+    """A whole number that every value of the column has a part in."""
+    kind, value = df.schema[column].dataType.simpleString(), F.col(column)
+    if kind == "string":
+        value = F.length(value)
+    elif kind == "date":
+        value = F.datediff(value, F.lit("1970-01-01"))
+    elif kind == "timestamp":
+        value = F.unix_timestamp(value)
+    elif kind == "double":
+        value = F.round(value * 100)
+    return F.coalesce(F.sum(value.cast("bigint")), F.lit(0))
+
+
 def extract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and present values per column of the twelve tables, read from CSV."""
+    """Per column of the twelve tables, read from CSV: present and distinct values, and their total."""
     counts = []
-    for name, df in extract_all(spark, csv_folder(spark, sf_dir)).items():
-        one_row = df.agg(F.count("*").alias("*"), *(F.count(c).alias(c) for c in df.columns))
-        long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "column", "present")
-        counts.append(long.withColumn("table_name", F.lit(name)))
+    for name, df in extract_all(spark, csv_folder(spark, sf_dir), multi_line=False).items():
+        ways = {
+            "present": lambda df, c: F.count(c),
+            "different": lambda df, c: F.count_distinct(c),
+            "total": column_total,
+        }
+        for way, of in ways.items():
+            one_row = df.agg(*(of(df, c).alias(c) for c in df.columns))
+            long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "column", "value")
+            counts.append(long.withColumns({"table_name": F.lit(name), "measure": F.lit(way)}))
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -149,7 +185,7 @@ def database(spark: SparkSession) -> jdbc.Database:
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = database(spark)
     jdbc.write_table(given(spark, sf_dir, "supplier"), target, "tillstar_supplier")
-    stored = jdbc.read_table(spark, target, "tillstar_supplier")
+    stored = jdbc.read_table(spark, target, "tillstar_supplier", spread_by="s_suppkey")
     return stored.select(*(F.col(c).alias(c.lower()) for c in stored.columns))
 
 
@@ -283,6 +319,44 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, folder, new_path(spark, "run"), AS_OF, dim_date=dates)
 
 
+_runs: dict[tuple[str, str], str] = {}
+
+
+def run_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where a whole run over these tables has been written, once per application."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _runs:
+        root = new_path(spark, "run")
+        layout = {"fact_orders": ["order_year", "order_month"]}
+        run_pipeline(
+            spark, csv_folder(spark, sf_dir), root, AS_OF, calendar(spark, sf_dir),
+            facts_partitioned_by=layout,
+        )
+        _runs[known] = root
+    return _runs[known]
+
+
+def written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A dimension or fact as the whole run has written it."""
+    root = run_folder(spark, sf_dir)
+    path = parquet.fact_path(root, name) if name in FACTS else parquet.dimension_path(root, name)
+    return spark.read.parquet(path).drop("order_year", "order_month")
+
+
+def warehouse_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension and a fact through the warehouse sink, counted from its files."""
+    root = new_path(spark, "warehouse")
+    dims = {"dim_store": dimension(spark, sf_dir, "dim_store")}
+    facts = {"fact_returns": fact(spark, sf_dir, "fact_returns")}
+    parquet.load_warehouse(dims, facts, root)
+    stores = spark.read.parquet(parquet.dimension_path(root, "dim_store"))
+    returns = spark.read.parquet(parquet.fact_path(root, "fact_returns"))
+    one = lambda df, name, key: df.agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(
+        F.lit(name).alias("table_name"), "n", "keys"
+    )
+    return one(stores, "dim_store", "store_key").unionByName(one(returns, "fact_returns", "return_key"))
+
+
 def _per(names, build: Callable[[SparkSession, str, str], DataFrame], prefix: str = ""):
     return {
         prefix + name: lambda spark, sf_dir, name=name: build(spark, sf_dir, name)
@@ -293,6 +367,7 @@ def _per(names, build: Callable[[SparkSession, str, str], DataFrame], prefix: st
 def queries() -> dict[str, Query]:
     return {
         "csv_roundtrip": csv_roundtrip,
+        "csv_bad_records": csv_bad_records,
         "extract_all": extract_tables,
         "parquet_roundtrip": parquet_roundtrip,
         "parquet_partitioned": parquet_partitioned,
@@ -317,4 +392,6 @@ def queries() -> dict[str, Query]:
         **_per(["dim_date", *DIMENSIONS], dimension),
         **_per(FACTS, fact),
         "whole_run": whole_run,
+        "warehouse_files": warehouse_files,
+        **_per(["dim_customer", "fact_orders", "fact_inventory"], written, "written_"),
     }
