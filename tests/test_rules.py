@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import AsOf, band
 from tillstar.operators import clean, count_flags, dedupe, flag_unique, require, transform, validate
+from tillstar.operators.rules import derive
 from tillstar.plans.tables import TABLES
 from tillstar.sources.schemas import SCHEMAS
 
@@ -226,3 +227,14 @@ def test_clock_defaults_to_today(spark):
 def test_band_takes_the_first_cut(spark):
     df = spark.range(3).select(band(F.col("id"), [("<", 1, "a"), ("<=", 1, "b")], "c").alias("x"))
     assert [r.x for r in df.collect()] == ["a", "b", "c"]
+
+
+def test_added_columns_stand_in_their_order(spark):
+    for rules in TABLES.values():
+        if not rules.added:
+            continue
+        source = spark.createDataFrame([], SCHEMAS[rules.name])
+        wide = transform(source, rules, AS_OF).columns
+        loose = derive(validate(clean(source, rules), rules, AS_OF), rules, AS_OF).columns
+        assert wide == [*source.columns, *rules.added]
+        assert sorted(wide) == sorted(loose)

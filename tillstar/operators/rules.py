@@ -30,6 +30,7 @@ class TableRules:
     unique: Mapping[str, str] = field(default_factory=dict)  # flag -> column
     group_sizes: Mapping[str, str] = field(default_factory=dict)  # count -> column
     measured: Callable[[AsOf], Columns] = lambda as_of: {}  # columns the flags read
+    added: Sequence[str] = ()  # flags and derived columns in order, where it is not theirs above
 
     def flag_names(self) -> list[str]:
         return [*self.unique, *self.flags(AsOf())]
@@ -66,4 +67,5 @@ def derive(df: DataFrame, rules: TableRules, as_of: AsOf = AsOf()) -> DataFrame:
 
 def transform(df: DataFrame, rules: TableRules, as_of: AsOf = AsOf()) -> DataFrame:
     """The wide table: source columns cleaned in place, flags, derived columns."""
-    return derive(validate(clean(df, rules), rules, as_of), rules, as_of)
+    wide = derive(validate(clean(df, rules), rules, as_of), rules, as_of)
+    return wide.select(*df.columns, *rules.added) if rules.added else wide

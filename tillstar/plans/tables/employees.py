@@ -52,6 +52,28 @@ def derived(as_of: AsOf):
     yield {"experience_level": band(F.col("employee_tenure_years"), TENURES, LONGEST)}
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "email_count",
+    "is_valid_first_name",
+    "is_valid_phone",
+    "is_valid_email",
+    "is_unique_email",
+    "is_valid_salary",
+    "is_valid_store_id",
+    "is_valid_hire_date",
+    "employee_age",
+    "is_valid_age",
+    "is_valid_gender",
+    "is_valid_status",
+    "employee_tenure_years",
+    "salary_band",
+    "experience_level",
+    "is_active_employee",
+    "is_management",
+    "department_group",
+]
+
 RULES = TableRules(
     name="employees",
     key="employee_id",
@@ -65,4 +87,5 @@ RULES = TableRules(
     measured=measured,
     flags=flags,
     derived=derived,
+    added=ADDED,
 )

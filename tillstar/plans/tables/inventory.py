@@ -39,6 +39,22 @@ def derived(as_of: AsOf):
     }
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "is_valid_store_id",
+    "is_valid_product_id",
+    "is_valid_quantity",
+    "is_valid_reorder_level",
+    "is_valid_stock_status",
+    "is_valid_restock_date",
+    "is_valid_last_updated",
+    "needs_restock",
+    "inventory_age_days",
+    "stock_category",
+    "stock_difference",
+    "inventory_health",
+]
+
 RULES = TableRules(
     name="inventory",
     key="inventory_id",
@@ -46,4 +62,5 @@ RULES = TableRules(
     text={"upper": ["stock_status"]},
     flags=flags,
     derived=derived,
+    added=ADDED,
 )

@@ -34,6 +34,23 @@ def derived(as_of: AsOf):
     }
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "is_valid_order_id",
+    "is_valid_amount_paid",
+    "is_valid_transaction_id",
+    "is_unique_transaction_id",
+    "is_valid_payment_method",
+    "is_valid_payment_status",
+    "is_valid_payment_date",
+    "is_successful_payment",
+    "is_failed_payment",
+    "is_pending_payment",
+    "is_refunded_payment",
+    "payment_amount_category",
+    "is_digital_payment",
+]
+
 RULES = TableRules(
     name="payments",
     key="payment_id",
@@ -42,4 +59,5 @@ RULES = TableRules(
     unique={"is_unique_transaction_id": "transaction_id"},
     flags=flags,
     derived=derived,
+    added=ADDED,
 )

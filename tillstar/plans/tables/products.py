@@ -49,6 +49,28 @@ def derived(as_of: AsOf):
     }
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "is_valid_product_name",
+    "is_unique_sku",
+    "is_unique_barcode",
+    "is_valid_supplier_id",
+    "is_valid_cost_price",
+    "is_valid_selling_price",
+    "is_valid_gst",
+    "is_valid_reorder_level",
+    "is_valid_manufacture_date",
+    "is_valid_expiry_date",
+    "is_valid_product_status",
+    "calculated_profit_margin",
+    "price_category",
+    "gst_category",
+    "is_available",
+    "is_expired",
+    "days_to_expiry",
+    "needs_reorder",
+]
+
 RULES = TableRules(
     name="products",
     key="product_id",
@@ -60,4 +82,5 @@ RULES = TableRules(
     unique={"is_unique_sku": "sku", "is_unique_barcode": "barcode"},
     flags=flags,
     derived=derived,
+    added=ADDED,
 )

@@ -53,6 +53,26 @@ def derived(as_of: AsOf):
     yield {"delivery_speed": band(F.col("delivery_days"), SPEEDS, SLOWEST)}
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "is_valid_order_id",
+    "is_valid_store_id",
+    "is_valid_tracking_number",
+    "is_unique_tracking_number",
+    "is_valid_shipment_date",
+    "is_valid_delivery_date",
+    "is_valid_shipping_status",
+    "is_valid_courier",
+    "delivery_days",
+    "delivery_speed",
+    "is_delivered",
+    "is_in_transit",
+    "is_pending",
+    "is_returned",
+    "is_cancelled",
+    "shipment_age_days",
+]
+
 RULES = TableRules(
     name="shipments",
     key="shipment_id",
@@ -61,4 +81,5 @@ RULES = TableRules(
     unique={"is_unique_tracking_number": "tracking_number"},
     flags=flags,
     derived=derived,
+    added=ADDED,
 )

@@ -42,6 +42,25 @@ def derived(as_of: AsOf):
     }
 
 
+# The columns that are added, in the order of the wide table.
+ADDED = [
+    "is_valid_supplier_name",
+    "is_valid_contact_person",
+    "is_valid_email",
+    "is_valid_phone",
+    "is_unique_gst",
+    "is_valid_gst",
+    "is_valid_rating",
+    "is_valid_lead_time",
+    "is_valid_contract_date",
+    "is_valid_status",
+    "contract_age_years",
+    "supplier_rating_category",
+    "lead_time_category",
+    "is_active_supplier",
+    "payment_term_category",
+]
+
 RULES = TableRules(
     name="suppliers",
     key="supplier_id",
@@ -54,4 +73,5 @@ RULES = TableRules(
     unique={"is_unique_gst": "gst_number"},
     flags=flags,
     derived=derived,
+    added=ADDED,
 )
