@@ -1,80 +1,123 @@
-"""Token ids of whole texts, with the words' ids kept between texts."""
+"""Token ids of whole texts, with the ids of words kept between texts."""
 
 from __future__ import annotations
 
 import os
 import re
 import sys
-from collections.abc import Callable
 from types import ModuleType
 
-KEPT_WORDS = 700_000  # pieces of text whose ids a worker process keeps
-_STORE = "_tillstar_llm_word_ids"
+KEPT_PIECES = 700_000  # stretches of text whose ids a worker process keeps, and as many words
+_STORE = "_tillstar_llm_piece_ids"
 
+# Stretches of ASCII and Latin-1 letters: their words are found here, as the
+# tokenizers' own patterns find them, and only the merges are left to the tokenizer.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(r" ?[!-~À-ÖØ-öø-ÿ]+\Z")
+WORD_END_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
+BYTE_LEVEL_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+")
 
-def kept_ids(name: str) -> dict[str, bytes]:
-    """This process's store of ids by piece, for one tokenizer; it outlives the task."""
-    store = sys.modules.setdefault(_STORE, ModuleType(_STORE))
-    return store.__dict__.setdefault(name, {})
+# White space other than single spaces and line ends.
+ODD_SPACE = re.compile(r"[^\S \n]|\0")
+ODD_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0"
 
 
-def split_at_spaces(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies.
 
+    Printable bytes stand for themselves; the others, in order, for the characters from 256 on.
+    """
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-def load(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+BYTES = byte_characters()
 
 
-def lookup(store: dict[str, bytes], pieces: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
-    """The pieces' ids one after another, as little-endian 16-bit integers."""
-    missing = list(set(pieces).difference(store))
-    if missing:
-        if len(store) + len(missing) > KEPT_WORDS:
-            store.clear()
-            missing = list(set(pieces))
-        store.update(zip(missing, encode(missing)))
-    return b"".join(map(store.__getitem__, pieces))
+class Pieces(dict):
+    """Ids by stretch of text, as little-endian 16-bit integers; a missing one is encoded."""
 
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
 
-class WordEncoder:
-    """For tokenizers that drop white space: every stretch between spaces has its own ids."""
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > KEPT_PIECES:
+            self.clear()
+        ids = self[piece] = self.encoder.encode_piece(piece)
+        return ids
 
-    def __init__(self, path: str):
-        self.tokenizer, self.store = load(path), kept_ids(path)
 
-    def encode_missing(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [b"".join(i.to_bytes(2, "little") for i in x.ids) for x in found]
+class Encoder:
+    """A tokenizer for one process; its stores outlive the task."""
 
-    def __call__(self, text: str) -> bytes:
-        return lookup(self.store, split_at_spaces(text), self.encode_missing)
+    words: re.Pattern
+    lower = False
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.pieces, self.known = Pieces(self), {}
+
+    def encode_whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join(i.to_bytes(2, "little") for i in ids)
+
+    def encode_piece(self, piece: str) -> bytes:
+        if not PLAIN.match(piece):
+            return self.encode_whole(piece)
+        if len(self.known) > KEPT_PIECES:
+            self.known.clear()
+        parts = []
+        for word in self.words.findall(piece.lower() if self.lower else piece):
+            ids = self.known.get(word)
+            if ids is None:
+                tokens = self.model.tokenize("".join(map(BYTES.__getitem__, word.encode())))
+                ids = self.known[word] = b"".join(x.id.to_bytes(2, "little") for x in tokens)
+            parts.append(ids)
+        return b"".join(parts)
+
+
+class WordEncoder(Encoder):
+    """For the tokenizer that lower-cases and drops white space: every stretch between spaces stands alone."""
+
+    words, lower = WORD_END_WORDS, True
 
-# Where neighbouring white space could share ids with what stands beside it.
-LOOSE_SPACE = re.compile(r"\s\s|\A\s|\s\Z|\0")
+    def __call__(self, text: str) -> bytes:
+        pieces = text.replace("\n", " ").split(" ")
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
 
-class ByteEncoder:
-    """For byte-level tokenizers that join a single space to the word behind it.
+class ByteEncoder(Encoder):
+    """For the byte-level tokenizer that joins a single space to the word behind it.
 
     Such a text can be cut before every space and around every line end, if all
-    white space in it is single and inside; other texts are encoded as they are.
+    its white space is single and inside; other texts are encoded as they are.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer, self.store = load(path), kept_ids(path)
-
-    def encode_missing(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [b"".join(i.to_bytes(2, "little") for i in x.ids) for x in found]
+    words = BYTE_LEVEL_WORDS
 
     def __call__(self, text: str) -> bytes:
-        if LOOSE_SPACE.search(text):
-            return self.encode_missing([text])[0]
-        return lookup(self.store, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"), self.encode_missing)
+        if loose(text):
+            return self.encode_whole(text)
+        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+
+def loose(text: str) -> bool:
+    """Whether some white space could share ids with what stands beside it."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in " \n" or text[-1:] in " \n":
+        return True
+    return any(map(text.__contains__, ODD_ASCII)) if text.isascii() else bool(ODD_SPACE.search(text))
+
+
+def encoder(kind: type[Encoder], path: str) -> Encoder:
+    """This process's encoder of a kind and vocabulary."""
+    store, name = sys.modules.setdefault(_STORE, ModuleType(_STORE)), f"{kind.__name__} {path}"
+    if name not in store.__dict__:
+        store.__dict__[name] = kind(path)
+    return store.__dict__[name]

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.encode import WordEncoder
+from tillstar.llm.encode import WordEncoder, encoder
 from tillstar.session import new_path
 
 SHARD_TOKENS = 2_000_000
@@ -33,7 +33,7 @@ def frequent_pairs(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]
     Keys are counted in hash buckets; a chosen bucket stands for one of its pairs,
     which in a full bucket is nearly always the frequent one.
     """
-    bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    bucket = ((keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
     counts = np.bincount(bucket, minlength=1 << BUCKET_BITS)
     chosen = np.flatnonzero(counts >= LEAST_COUNT)
     if len(chosen) > most:
@@ -42,7 +42,7 @@ def frequent_pairs(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]
     rank[chosen] = np.arange(len(chosen))
     at = rank[bucket]
     held = np.flatnonzero(at >= 0)
-    pairs = np.zeros(len(chosen), np.uint64)
+    pairs = np.zeros(len(chosen), np.uint32)
     pairs[at[held]] = keys[held]
     other = held[pairs[at[held]] != keys[held]]
     at[other] = -1
@@ -64,7 +64,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         room = min(PAIRS_A_ROUND, SYMBOLS - base - len(lengths))
         if room <= 0 or len(sequence) < 2:
             break
-        keys = (sequence[:-1].astype(np.uint64) << np.uint64(16)) | sequence[1:]
+        keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
         at, pairs = frequent_pairs(keys, room)
         at[ends[:-1]] = -1
         starts = np.flatnonzero(at >= 0)
@@ -81,7 +81,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         number[worth] = base + len(lengths) + np.arange(len(worth))
         keep = number[kind] >= 0
         starts, kind = starts[keep], kind[keep]
-        made = np.stack([pairs[worth] >> np.uint64(16), pairs[worth] & np.uint64(0xFFFF)], 1).astype(np.uint32)
+        made = np.stack([pairs[worth] >> np.uint32(16), pairs[worth] & np.uint32(0xFFFF)], 1)
         made_size = size[made[:, 0]] + size[made[:, 1]]
         rules.append(made)
         lengths += made_size.tolist()
@@ -96,19 +96,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
 
 
 def expand(sequence: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for; one pass per nesting of rules."""
-    sequence = sequence.astype(np.uint32)
-    while len(sequence):
-        nested = sequence >= base
-        if not nested.any():
-            break
-        places = np.cumsum(1 + nested) - 1 - nested
-        out = np.empty(len(sequence) + int(nested.sum()), np.uint32)
-        own = rules[np.where(nested, sequence.astype(np.int64) - base, 0)] if len(rules) else None
-        out[places] = np.where(nested, own[:, 0], sequence)
-        out[places[nested] + 1] = own[nested, 1]
-        sequence = out
-    return sequence
+    """The ids that symbols stand for: every rule is expanded once, then copied to its places."""
+    made: list[bytes] = []
+    one = lambda symbol: made[symbol - base] if symbol >= base else symbol.to_bytes(2, "little")
+    for left, right in rules.tolist():  # a rule's parts come before it
+        made.append(one(left) + one(right))
+    table = np.concatenate([np.arange(base, dtype=np.uint16), np.frombuffer(b"".join(made), "<u2")])
+    size = np.concatenate([np.ones(base, np.int64), np.array([len(x) // 2 for x in made], np.int64)])
+    begin = np.cumsum(size) - size
+    lengths = size[sequence]
+    stops = np.cumsum(lengths)
+    shift = np.repeat(begin[sequence] - (stops - lengths), lengths)
+    return table[shift + np.arange(len(shift))]
 
 
 def decode_range(shard: dict, doc: int, start: int, length: int) -> np.ndarray:
@@ -143,14 +142,14 @@ def shard_batches(path: str, end_id: int):
     """A function for mapInPandas: sorted texts in, compressed shards out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(path)
-        base = encoder.tokenizer.get_vocab_size()
+        encode = encoder(WordEncoder, path)
+        base = encode.tokenizer.get_vocab_size()
         part, number, end = TaskContext.get().partitionId(), 0, end_id.to_bytes(2, "little")
         names = [x.split()[0] for x in SHARD.split(", ")]
         doc_ids, encoded, held = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch["__id"].astype(object), batch["__text"]):
-                encoded.append((encoder(text) if text else b"") + end)
+                encoded.append((encode(text) if text else b"") + end)
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                 held += len(encoded[-1]) // 2
                 if held >= SHARD_TOKENS:
