@@ -258,11 +258,18 @@ def scan_batches(model: Model):
 
 
 def sample(docs: DataFrame, text: str) -> list[str]:
-    """A bounded set of corpus paragraphs, the same for the same rows: those with the smallest hashes."""
+    """A bounded set of different corpus paragraphs, the same for the same rows.
+
+    They are those with the smallest hashes.  Lines are first thinned by hash to
+    about three times the number wanted, so only these are shuffled, and a line
+    that stands in very many texts is one row per task.
+    """
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
     lines = lines.filter((F.length("line") > 0) & (F.length("line") <= MOST_LABELLED_CHARS))
-    order = F.xxhash64("line")
-    taken = lines.select("line", order.alias("place")).groupBy("place").agg(F.min("line").alias("line"))
+    share = min(1.0, 3 * MOST_LABELLED / max(lines.count(), 1))
+    place = F.xxhash64("line")
+    thin = lines.withColumn("place", place).filter(F.pmod("place", F.lit(1 << 40)) <= int(share * (1 << 40)))
+    taken = thin.groupBy("place").agg(F.min("line").alias("line"))
     return [row["line"] for row in taken.orderBy("place").limit(MOST_LABELLED).collect()]
 
 
