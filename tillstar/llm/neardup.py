@@ -284,13 +284,14 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     copies = full.groupBy("digest", "n_shingles").agg(F.min(ROW).alias("representative"))
     firsts = write_shared(copies.select(F.col("representative").alias("row")), "representatives")
 
-    kept = full.join(firsts, full[ROW] == firsts["row"], "left_semi")
+    # Both sides of the wide joins are shuffled whatever their size, so that disk grows with the input alone.
+    kept = full.join(firsts.hint("merge"), full[ROW] == firsts["row"], "left_semi")
     keys = kept.select(F.col(ROW).alias("row"), F.explode("bands").alias("band"))
     buckets = keys.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    members = write_shared(keys.join(buckets, "band"), "buckets")
+    members = write_shared(keys.join(buckets.hint("merge"), "band"), "buckets")
     members = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     signatures = full.select(F.col(ROW).alias("row"), "signature")
-    spread = in_blocks(members.drop("members").join(signatures, "row"))
+    spread = in_blocks(members.drop("members").join(signatures.hint("merge"), "row"))
     possible = connected(per_group(spread, ["band", "__low", "__high"], bucket_links))
 
     sizes = full.select(F.col(ROW).alias("row"), "n_shingles", "__id", "__hash")
@@ -300,7 +301,7 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # The texts are found again by id and hash; rows alike in both have the same text.
     texts = named_texts(docs, doc_id, text).withColumnsRenamed({"__id": "own_id", "__hash": "own_hash", "__text": "text"})
     same = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_hash") == F.col("__hash"))
-    found = texts.join(grouped, same).select("row", "root", "blocks", "text").dropDuplicates(["row"])
+    found = texts.join(grouped.hint("merge"), same).select("row", "root", "blocks", "text").dropDuplicates(["row"])
     spread = in_blocks(found)
     exact = per_group(spread, ["root", "__low", "__high"], verify_links)
 
