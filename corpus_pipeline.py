@@ -20,15 +20,21 @@ from tillstar.session import write_shared
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
     key = F.xxhash64("doc_id", "text", "lang", "source")
-    judged = quality.judge(docs.withColumn("__key", key), doc_id="__key")
-    return without_rejected(docs, key, judged.select(F.col("doc_id").alias("key"), "kept"))
+    rows = docs.withColumn("__key", key)
+    return without_rejected(
+        docs, key, lambda: quality.judge(rows, doc_id="__key").select(F.col("doc_id").alias("key"), "kept")
+    )
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id."""
-    grouped = neardup.group_documents(docs)
-    decisions = grouped.select(F.xxhash64("doc_id", "text_hash").alias("key"), "kept")
-    return without_rejected(docs, F.xxhash64("doc_id", F.xxhash64("text")), decisions, unique=True)
+    named = F.xxhash64("doc_id", "text_hash").alias("key")
+    return without_rejected(
+        docs,
+        F.xxhash64("doc_id", F.xxhash64("text")),
+        lambda: neardup.group_documents(docs).select(named, "kept"),
+        unique=True,
+    )
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +45,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in passages of the benchmark."""
-    key = F.xxhash64("doc_id", "text")
-    told = decontaminate.contamination(
-        docs.withColumn("__key", key), read_table(spark, sf_dir, "benchmark"), doc_id="__key"
+    key, benchmark = F.xxhash64("doc_id", "text"), read_table(spark, sf_dir, "benchmark")
+    rows = docs.withColumn("__key", key)
+    kept = (~F.col("contaminated")).alias("kept")
+    return without_rejected(
+        docs,
+        key,
+        lambda: decontaminate.contamination(rows, benchmark, doc_id="__key").select(F.col("doc_id").alias("key"), kept),
     )
-    return without_rejected(docs, key, told.select(F.col("doc_id").alias("key"), (~F.col("contaminated")).alias("kept")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

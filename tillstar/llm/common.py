@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.session import write_shared
+from tillstar.session import new_path, scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -35,16 +37,30 @@ def small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> bool:
     return df.count() * row_bytes <= most
 
 
-def without_rejected(docs: DataFrame, key: Column, decisions: DataFrame, unique: bool = False) -> DataFrame:
-    """The rows of ``docs`` that ``decisions`` (key, kept) keeps, all columns as they are.
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` returns, stored; the tables that it stores on its way are removed."""
+    path = new_path(spark, label)
+    with scratch(spark):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def without_rejected(
+    docs: DataFrame, key: Column, decide: Callable[[], DataFrame], unique: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` that the decisions (key, kept) keep, all columns as they are.
 
     ``key`` is a 64-bit fingerprint of a row.  Rows with the same one stay if one
     of them is kept; with ``unique`` only one of them stays.  The rejected
     fingerprints are broadcast if their measured size allows, so that texts need
     no shuffle; otherwise both sides are shuffled by fingerprint.
     """
-    told = decisions.groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    told = write_shared(told, "decisions")
+    told = settled(
+        docs.sparkSession,
+        lambda: decide().groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")),
+        "decisions",
+    )
     rejected = told.filter("NOT kept").select("key")
     few = small(rejected, 64)
     rows = docs.withColumn("__key", key).join(

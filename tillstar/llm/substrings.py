@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.llm.common import settled
 from tillstar.session import write_shared
 
 RUN = 3  # sentences of a run, at least
@@ -195,7 +196,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Rows equal in doc_id and text are one document, and all of them are cut alike.
     """
-    spans = repeated_runs(docs, doc_id, text)
+    spans = settled(docs.sparkSession, lambda: repeated_runs(docs, doc_id, text), "spans")
     others = [c for c in docs.columns if c not in ("removed", "n_removed_sentences")]
     kept = F.struct(*[F.col(f"`{c}`") for c in others if c != text]).alias("__kept")
     rows = keyed(docs.select(kept, F.col(doc_id).alias("__id"), F.col(text).alias("__t")), "__id", "__t")
