@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -120,6 +119,14 @@ def ratio_g2(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
     return 2 * out
 
 
+def _gather(values: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the given rows of a ragged table, and each one's place among ``rows``."""
+    lengths = first[rows + 1] - first[rows]
+    stops = np.cumsum(lengths)
+    place = np.repeat(np.arange(len(rows)), lengths)
+    return values[np.repeat(first[rows] - (stops - lengths), lengths) + np.arange(len(place))], place
+
+
 def document_features(toxic: np.ndarray) -> list[float]:
     """What a document's marginals say: a constant, expected toxic tokens, their density, the surest token."""
     expected, most = (float(toxic.sum()), float(toxic.max())) if len(toxic) else (0.0, 0.0)
@@ -155,58 +162,57 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     n_toxic, n_clean = int(labels.sum()), int((1 - labels).sum())
     if not n_toxic or not n_clean:
         return None
-    tokens = [WORD.findall(text) for text in texts]
-    counts = (Counter(), Counter())
-    for words, label in zip(tokens, labels):
-        counts[int(label)].update({f for word in set(words) for f in features(word)})
-    used, markers = {}, set()
-    for feature, toxic in counts[1].items():
-        clean = counts[0][feature]
+    # Texts become numbers of words, and words numbers of features, so each string is held once.
+    words: dict[str, int] = {}
+    docs = [
+        np.fromiter((words.setdefault(w.lower(), len(words)) for w in WORD.findall(text)), np.int32) for text in texts
+    ]
+    names: dict[str, int] = {}
+    own = [np.array([names.setdefault(f, len(names)) for f in features(w)], np.int32) for w in words]
+    first = np.cumsum([0, *map(len, own)])
+    own = np.concatenate([*own, np.empty(0, np.int32)])
+    counts = np.zeros((2, len(names)), np.int64)
+    for doc, label in zip(docs, labels):
+        counts[int(label), np.unique(_gather(own, first, np.unique(doc))[0])] += 1
+    marker, used, kept = np.zeros(len(names), bool), np.full(len(names), -1, np.int64), []
+    for feature, number in names.items():
+        clean, toxic = (int(n) for n in counts[:, number])
+        if not toxic:
+            continue
         g2 = ratio_g2(toxic, clean, n_toxic, n_clean)
-        if toxic * n_clean > clean * n_toxic:
-            if g2 >= MARKER_G2 and (toxic + 0.5) * n_clean >= MARKER_RATIO * (clean + 0.5) * n_toxic:
-                markers.add(feature)
+        if g2 >= MARKER_G2 and (toxic + 0.5) * n_clean >= MARKER_RATIO * (clean + 0.5) * n_toxic:
+            marker[number] = True
         if g2 >= USED_G2:
-            used[feature] = len(used)
-    del counts
-    word_features: dict[str, list[int]] = {}
-    marked: dict[str, bool] = {}
-    targets, where, which = [], [], []
-    at = 0
-    for words, label in zip(tokens, labels):
-        for word in set(words).difference(word_features):
-            own = features(word)
-            word_features[word] = [used[f] for f in own if f in used]
-            marked[word] = not markers.isdisjoint(own)
-        targets.append(np.fromiter((marked[w] for w in words), bool, len(words)) & (label == 1))
-        for place, word in enumerate(words):
-            if found := word_features[word]:
-                where += [at + place] * len(found)
-                which += found
-        at += len(words)
-    where, which = np.array(where, np.int64), np.array(which, np.int64)
-    sizes = [len(words) for words in tokens]
-    del tokens, word_features
+            used[number] = len(kept)
+            kept.append(feature)
+    sizes = [len(doc) for doc in docs]
+    at = sum(sizes)
     if not at:
         return None
+    marked = np.zeros(len(words), bool)
+    np.logical_or.at(marked, np.repeat(np.arange(len(words)), np.diff(first)), marker[own])
+    targets = [marked[doc] & (label == 1) for doc, label in zip(docs, labels)]
+    found, where = _gather(own, first, np.concatenate(docs))
+    which = used[found]
+    where, which = where[which >= 0], which[which >= 0]
+    del docs, words, names, own, found
     truth, lengths, place = in_chains(np.concatenate(targets).astype(float), sizes)
     steps = truth.shape[1]
     inside = np.arange(steps) < lengths[:, None]
     both = truth[:, 1:].astype(int) + 2 * truth[:, :-1].astype(int)
     seen_moves = np.bincount(both[inside[:, 1:]], minlength=4).reshape(2, 2).astype(float)
     flat_truth = truth.ravel()[place]
-    theta = np.zeros(len(used) + 1)
+    theta = np.zeros(len(kept) + 1)
     theta[-1] = -3.0
     chain = np.zeros((2, 2))
     squares, chain_squares = np.full(len(theta), 1e-8), np.full((2, 2), 1e-8)
     for _ in range(EPOCHS):
-        emission = np.full(at, theta[-1])
-        emission += np.bincount(where, theta[which], minlength=at)
+        emission = theta[-1] + np.bincount(where, theta[which], minlength=at)
         padded = np.zeros(truth.size)
         padded[place] = emission
         toxic, _, moves = marginals(padded.reshape(truth.shape), lengths, chain)
         error = flat_truth - toxic.ravel()[place]
-        gradient = np.append(np.bincount(which, error[where], minlength=len(used)), error.sum())
+        gradient = np.append(np.bincount(which, error[where], minlength=len(kept)), error.sum())
         gradient[:-1] -= SHRINK * at * theta[:-1] * 0.01
         chain_gradient = seen_moves - moves
         squares += gradient**2
@@ -217,7 +223,7 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     found = toxic.ravel()[place]
     for size, stop in zip(sizes, end):
         rows.append(document_features(found[stop - size : stop]))
-    weights = {f: float(theta[i]) for f, i in used.items() if abs(theta[i]) > 0.01}
+    weights = {f: float(theta[i]) for i, f in enumerate(kept) if abs(theta[i]) > 0.01}
     return Model(weights, float(theta[-1]), chain, calibrate(np.array(rows), labels))
 
 
