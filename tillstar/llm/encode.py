@@ -7,7 +7,7 @@ import re
 import sys
 from types import ModuleType
 
-KEPT_PIECES = 700_000  # stretches of text whose ids a worker process keeps, and as many words
+KEPT_PIECES = 250_000  # stretches of text whose ids a worker process keeps, and as many words; some 100 MB
 _STORE = "_tillstar_llm_piece_ids"
 
 # Stretches of ASCII and Latin-1 letters: their words are found here, as the

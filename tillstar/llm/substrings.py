@@ -18,7 +18,7 @@ from tillstar.session import write_shared
 RUN = 3  # sentences of a run, at least
 LEAST_WORDS = 16  # words of a run, at least
 LONG_SENTENCE = 90  # characters; a longer sentence is cut into pieces
-KNOWN_RUNS = 400_000  # places that a task remembers
+KNOWN_RUNS = 100_000  # places that a task remembers, some 30 MB
 MARK = 0xFFFFFFFF
 CUT_ONE_IN = 6  # behind one in so many of its words, chosen by the word's own checksum
 
