@@ -265,6 +265,20 @@ def test_quality(frame):
     assert quality.judge(frame([])).collect() == []
 
 
+def test_quality_of_rare_sources(frame):
+    """A few rows of a source are judged by their language, and of a language by all rows."""
+    plain = lambda i: " ".join(f"word{(i * 7 + j) % 997}" for j in range(100 + i % 9))
+    large = [(i, plain(i), "en", "a") for i in range(120)]
+    extreme = "#### #### #### " + "###### ".join(plain(3).split())
+    rare = [
+        (1000, extreme, "en", "rare"), (1001, plain(4), "en", "rare"), (1002, extreme, "en", "one"), (1003, plain(5), "en", None),
+        (1004, extreme, "xx", "a"), (1005, plain(6), "yy", "a"), (1006, extreme, None, None),
+    ]
+    told = {r.doc_id: r for r in quality.judge(frame(large + rare)).collect()}
+    assert not any(r.base_failed for r in told.values())
+    assert {i for i, r in told.items() if not r.kept} == {1000, 1002, 1004, 1006}
+
+
 def test_tokens(frame):
     rows = [*ROWS, (9, "tabs\tand\r\nlines é É ﬁ ½"), (10, "it's 1234 x_y <|endoftext|>")]
     found = grammar.round_trip(frame(rows), WORDS).orderBy("start").collect()

@@ -82,21 +82,26 @@ def with_statistics(docs: DataFrame, text: str) -> DataFrame:
 
 
 def grouped_rows(rows: DataFrame) -> DataFrame:
-    """Adds the group whose estimate judges a row: language and source, or where these have too few
-    rows the language, or else all rows.
+    """Adds the group whose estimate judges a row (language and source, or where these have too few
+    rows the language, or else all rows) and ``member``, the groups whose estimates it is part of.
 
-    The counts are of one row per language and source, joined back to the rows.
+    A language's group holds all its rows, those of large sources too, and the last one all rows;
+    groups that judge no row are left out.  The counts are of one row per language and source,
+    joined back to the rows.
     """
     counts = rows.filter("NOT base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
     by_lang = Window.partitionBy("lang")
-    levels = counts.withColumn("n_lang", F.sum("n").over(by_lang))
-    group = (
-        F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("2"), F.to_json(F.struct("lang", "source"))))
-        .when(F.col("n_lang") >= LEAST_ROWS, F.concat(F.lit("1"), F.to_json(F.struct("lang"))))
-        .otherwise(F.lit("0"))
+    levels = counts.withColumns({"n_lang": F.sum("n").over(by_lang), "least": F.min("n").over(by_lang)})
+    levels = write_shared(levels, "levels")
+    all_rows = levels.filter(F.col("n_lang") < LEAST_ROWS).limit(1).count() > 0
+    large, large_lang = F.col("n") >= LEAST_ROWS, F.col("n_lang") >= LEAST_ROWS
+    own, of_lang = F.concat(F.lit("2"), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("1"), F.to_json(F.struct("lang")))
+    group = F.when(large, own).when(large_lang, of_lang).otherwise(F.lit("0"))
+    member = F.array_compact(
+        F.array(F.when(large, own), F.when(large_lang & (F.col("least") < LEAST_ROWS), of_lang), F.lit("0" if all_rows else None))
     )
-    levels = write_shared(levels.select(F.struct("lang", "source").alias("own"), group.alias("group")), "groups")
-    return join_groups(rows.withColumn("own", F.struct("lang", "source")), levels, "own").drop("own")
+    levels = levels.select(F.struct("lang", "source").alias("own"), group.alias("group"), member.alias("member"))
+    return join_groups(rows.withColumn("own", F.struct("lang", "source")), write_shared(levels, "groups"), "own").drop("own")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
@@ -206,8 +211,8 @@ def judge(
     medians and quartiles and takes ``STEPS`` concentration steps on the nearest
     three quarters; spreads have floors, so constant statistics do no harm.
 
-    Groups with under ``LEAST_ROWS`` rows use their language's estimate, or that
-    of all rows of such languages.  A NULL language or source is a group like any
+    Groups with under ``LEAST_ROWS`` rows use the estimate of all rows of their
+    language, or if these are too few as well that of all rows.  A NULL language or source is a group like any
     other.  NULL, empty and wordless texts fail the base rules.  Repeated rows
     are judged one by one, an empty table gives no rows.
     """
@@ -221,7 +226,7 @@ def judge(
     rows = numbered(rows, *rows.columns).withColumns(vectors)
     rows = write_shared(rows, "statistics")
     rows = grouped_rows(rows)
-    passed = rows.filter("NOT base_failed").select("group", *vectors)
+    passed = rows.filter("NOT base_failed").select(F.explode("member").alias("group"), *vectors)
     known = write_shared(first_estimate(passed), "estimate")
     for _ in range(STEPS):
         known = write_shared(concentrate(passed, known), "estimate")
