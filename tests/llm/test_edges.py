@@ -279,6 +279,18 @@ def test_quality_of_rare_sources(frame):
     assert {i for i, r in told.items() if not r.kept} == {1000, 1002, 1004, 1006}
 
 
+def test_quality_of_single_statistics(frame):
+    """In a group without symbols and repeated lines, either alone makes an outlier."""
+    words = lambda i, n: [f"word{(i * 7 + j) % 997}" for j in range(n)]
+    base = [(i, " ".join(words(i, 100 + i % 9)), "en", "a") for i in range(120)]
+    symbols = " ".join(w + "#" * (k % 4 == 0) for k, w in enumerate(words(3, 104)))
+    lines = "\n".join("same\n" + " ".join(words(20 * k, 8)) for k in range(11))
+    odd = [(1000, symbols, "en", "a"), (1001, lines, "en", "a"), (1002, " ".join(words(5, 300)), "en", "a")]
+    told = {r.doc_id: r for r in quality.judge(frame(base + odd)).collect()}
+    assert not any(r.base_failed for r in told.values())
+    assert {i for i, r in told.items() if not r.kept} == {1000, 1001}
+
+
 def test_tokens(frame):
     rows = [*ROWS, (9, "tabs\tand\r\nlines é É ﬁ ½"), (10, "it's 1234 x_y <|endoftext|>")]
     found = grammar.round_trip(frame(rows), WORDS).orderBy("start").collect()

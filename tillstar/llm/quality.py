@@ -17,15 +17,16 @@ LEAST_WORDS = 50
 MOST_REPEAT_PERCENT = 50
 
 # The smallest standard deviation of each transformed statistic that counts as
-# spread; below it a group is taken as this wide.  In the order of vector().
-FLOORS = [0.5, 0.1, 0.03, 0.1, 0.1]
+# spread; a narrower group is taken as this wide, a wider one as it is.  In the
+# order of vector().
+FLOORS = [0.25, 0.05, 0.02, 0.07, 0.08]
 D = len(FLOORS)
 LOWER = [(i, j) for i in range(D) for j in range(i + 1)]
 
 HELD = 0.75  # share of a group's rows that the estimate is made of
 CONSISTENCY = 1.41  # of that covariance for normal rows: 0.75 / P(chi2(7) <= chi2(5) quantile of 0.75)
 STEPS = 4  # concentration steps
-OUTLIER = 9.0  # Mahalanobis distance from which a document is rejected
+OUTLIER = 5.99  # Mahalanobis distance from which a document is rejected: root of chi2(5)'s quantile of 0.999999
 LEAST_ROWS = 50  # of a group with an estimate of its own
 BINS = 32  # of distances, per factor of e
 ROW_BYTES = 500  # of a group's estimate as broadcast
@@ -121,8 +122,8 @@ def moments() -> list[Column]:
 def estimate(sums: DataFrame, factor: float) -> DataFrame:
     """Centre m and inverse Cholesky factor k of each group's covariance, from its sums."""
     made = sums.select("group", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)], *[
-        (F.greatest(F.col(f"p{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n"), F.lit(0.0))
-         * factor + FLOORS[i] ** 2 if i == j else
+        (F.greatest((F.col(f"p{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")) * factor, F.lit(FLOORS[i] ** 2))
+         if i == j else
          (F.col(f"p{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")) * factor).alias(f"c{i}{j}")
         for i, j in LOWER
     ])
@@ -171,7 +172,7 @@ def first_estimate(rows: DataFrame) -> DataFrame:
     one = lambda i, value: F.max(F.when(F.col("i") == i, value))
     made = quartiles.groupBy("group").agg(
         *[one(i, (F.col("middle") + 0.5) * (f / 4)).alias(f"m{i}") for i, f in enumerate(FLOORS)],
-        *[one(i, F.pow((F.col("high") - F.col("low")) * (f / 4) / 1.349, F.lit(2.0)) + f * f).alias(f"c{i}{i}") for i, f in enumerate(FLOORS)],
+        *[one(i, F.greatest(F.pow((F.col("high") - F.col("low")) * (f / 4) / 1.349, F.lit(2.0)), F.lit(f * f))).alias(f"c{i}{i}") for i, f in enumerate(FLOORS)],
     )
     made = made.withColumns({f"c{i}{j}": F.lit(0.0) for i, j in LOWER if i != j})
     return inverse_factor(made)
@@ -209,7 +210,8 @@ def judge(
     estimate of their language and source (from the documents that pass the base
     rules); ``kept`` is false from ``outlier`` on.  The estimate starts from
     medians and quartiles and takes ``STEPS`` concentration steps on the nearest
-    three quarters; spreads have floors, so constant statistics do no harm.
+    three quarters; a spread under its floor counts as the floor, so constant
+    statistics do no harm.
 
     Groups with under ``LEAST_ROWS`` rows use the estimate of all rows of their
     language, or if these are too few as well that of all rows.  A NULL language or source is a group like any
