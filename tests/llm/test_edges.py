@@ -320,3 +320,27 @@ def test_licenses(frame):
     assert told == {1: "mit", 2: None, 3: None, 4: None, 5: None, 6: "apache-2.0", 7: "unknown", None: "gpl-3.0"}
     assert [(x.start, x.end) for r in found if r.doc_id == 1 for x in r.found] == [(12, 43)]
     assert licenses.scan_licenses(frame([])).collect() == []
+
+
+def test_wrapped_licenses(frame):
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+    mark = lambda text, sign: "\n".join(sign + line for line in text.split("\n"))
+    rows = [
+        (1, bsd), (2, gpl), (3, "x = 1\n\n" + mark(bsd, "# ")), (4, "/*\n" + mark(gpl, " * ") + "\n */\nint x;"), (5, mark(gpl, "dnl ")),
+        (6, "Released under\nthe MIT\nLicense."), (7, "Some words here.\n" + bsd + "\nMore words."),
+        (8, "Licensed under the\nWonderful Community License,\nversion 9."), (9, "one line\nand another\nwith nothing"),
+    ]
+    plain = [(100 + i, "\n".join(f"the quick fox {i} of {k} jumps over lazy dogs" for k in range(5))) for i in range(60)]
+    found = {r.doc_id: r for r in licenses.scan_licenses(frame(rows + plain)).collect()}
+    assert not any(found.pop(i).n_licenses for i, _ in plain)
+    told = {i: r.license for i, r in found.items()}
+    assert told == {1: "bsd", 2: "gpl-3.0", 3: "bsd", 4: "gpl-3.0", 5: "gpl-3.0", 6: "mit", 7: "bsd", 8: "unknown", 9: None}
+    texts = dict(rows)
+    assert texts[3][found[3].found[0].start :].startswith("# Redistribution")
+    assert texts[7][found[7].found[0].start :].startswith("Redistribution")

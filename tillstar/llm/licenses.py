@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[a-z0-9]+(?:[.\-+][a-z0-9]+)*")
+MARK_WORD = re.compile(r"^\s*(?:dnl|rem)\b")  # comment marks that look like words
 
 # Short public notices and telling sentences of each licence family.
 TEMPLATES = {
@@ -101,18 +102,32 @@ class Model:
     temperature: float
     templates: list[tuple[str, list[str], set[str]]]
 
-    def probabilities(self, words: list[str]) -> np.ndarray:
+    def __post_init__(self):
+        self.seeds = {gram for gram in self.weights if " " not in gram}
+        self.longest = max(len(words) for _, words, _ in self.templates)  # words of a notice
+
+    def growing(self, lines: Iterable[list[str]]) -> Iterator[np.ndarray]:
+        """The probabilities of the first line's words, of the first two lines', and so on."""
         score = self.bias.copy()
         known = self.weights
         previous = ""
         seen = set()
-        for word in words:
-            for gram in (word, f"{previous} {word}") if previous else (word,):
-                if gram in known and gram not in seen:
-                    seen.add(gram)
-                    score += known[gram]
-            previous = word if word in known else ""
-        return softmax(score[None] / self.temperature)[0]
+        for words in lines:
+            for word in words:
+                for gram in (word, f"{previous} {word}") if previous else (word,):
+                    if gram in known and gram not in seen:
+                        seen.add(gram)
+                        score += known[gram]
+                previous = word if word in known else ""
+            yield softmax(score[None] / self.temperature)[0]
+
+    def probabilities(self, words: list[str]) -> np.ndarray:
+        return next(self.growing([words]))
+
+    def may_confirm(self, words: list[str]) -> bool:
+        """Whether enough word pairs of some template are there at all, in any order."""
+        pairs = {f"{a} {b}" for a, b in zip(words, words[1:])}
+        return any(len(own & pairs) >= CONFIRMED * len(own) if own else template[0] in words for _, template, own in self.templates)
 
     def confirm(self, family: str, words: list[str]) -> float:
         """The largest share of one of the family's templates that a stretch of the paragraph holds.
@@ -174,6 +189,10 @@ def fit(paragraphs: list[str]) -> Model:
         words for words in plain
         if max(len(own & grams(words)) / len(own) for own in held) < 0.3
     ]
+    # A line that is mostly a piece of a notice, as wrapped ones leave, is no example of none either.
+    pieces = set().union(*held, *(grams(WORD.findall(text.lower())) for text in OTHER_NOTICES))
+    pairs_of = lambda words: {f"{a} {b}" for a, b in zip(words, words[1:])}
+    plain = [words for words in plain if not (own := pairs_of(words)) or len(own & pieces) < 0.5 * len(own)]
     filler = sorted({word for words in plain for word in words})[:5000]
     examples = [(words, 0) for words in plain] + [([], 0)]
     sources = [(CLASSES.index(family), words) for family, words, _ in templates]
@@ -210,9 +229,9 @@ def fit(paragraphs: list[str]) -> Model:
     return Model(weights, b.astype(np.float64), float(heats[int(np.argmin(losses))]) if len(told) else 1.0, templates)
 
 
-def judge(model: Model, words: list[str]) -> tuple[str, float, bool] | None:
-    """Family (or unknown), probability and confirmation of a paragraph; None for no licence."""
-    p = model.probabilities(words)
+def judge(model: Model, words: list[str], p: np.ndarray | None = None) -> tuple[str, float, bool] | None:
+    """Family (or unknown), probability (from ``p`` if known) and confirmation of a paragraph; None for no licence."""
+    p = model.probabilities(words) if p is None else p
     if p[0] >= 0.5:
         return None
     family = FAMILIES[int(np.argmax(p[2:]))]
@@ -223,32 +242,77 @@ def judge(model: Model, words: list[str]) -> tuple[str, float, bool] | None:
     return UNKNOWN, float(1 - p[0]), False
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, str]]:
-    """Offset and text of each line."""
-    at = 0
+def paragraphs(text: str) -> Iterator[list[tuple[int, int, list[str]]]]:
+    """Start, end and words of the lines of each paragraph; lines without words part paragraphs.
+
+    Comment marks are no words, so commented text has paragraphs like any other.
+    """
+    at, block = 0, []
     for line in text.split("\n"):
-        if line:
-            yield at, line
+        words = WORD.findall(MARK_WORD.sub("", line.lower()))
+        if words:
+            block.append((at, at + len(line), words))
+        elif block:
+            yield block
+            block = []
         at += len(line) + 1
+    if block:
+        yield block
+
+
+def notices(model: Model, lines: list[list[str]]) -> list[tuple[int, int, tuple[str, float, bool]]]:
+    """First line, last line and judgement of each notice in a paragraph, wherever its line ends are.
+
+    Neighbouring lines are joined, from each line on, until what follows it is as
+    long as a notice may be.  First come the shortest joins that a template
+    confirms, then, of the lines between these, the shortest that state any licence.
+    """
+    seeds = model.seeds
+    plain = [seeds.isdisjoint(words) for words in lines]
+
+    def search(low: int, high: int, most: int, confirmed: bool) -> Iterator[tuple[int, int, tuple[str, float, bool]]]:
+        free = low  # no line before it may be taken
+        for first in range(low, high):
+            if first < free or plain[first]:
+                continue
+            words = []
+            for last, p in enumerate(model.growing(lines[first:high]), first):
+                words += lines[last]
+                told = None if plain[last] or p[0] >= 0.5 else judge(model, words, p)
+                if told and (told[2] or not confirmed):
+                    # Lines in front that the judgement does not need are left out.
+                    for later in range(last, first, -1):
+                        own = judge(model, [w for line in lines[later : last + 1] for w in line])
+                        if own and (own[0], own[2]) == (told[0], told[2]):
+                            first, told = later, own
+                            break
+                    yield first, last, told
+                    free = last + 1
+                    break
+                if len(words) - len(lines[first]) >= most:
+                    break
+
+    whole = [word for line in lines for word in line]
+    found = list(search(0, len(lines), 2 * model.longest, True)) if model.may_confirm(whole) else []
+    low = 0
+    for first, last in [*((x[0], x[1]) for x in found), (len(lines), len(lines))]:
+        found += search(low, first, model.longest, False)
+        low = last + 1
+    return sorted(found)
 
 
 def scan_batches(model: Model):
     """A function for mapInPandas that tags the paragraphs of whole texts."""
-    seeds = {gram for gram in model.weights if " " not in gram}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        nothing = judge(model, []) is None
         for batch in batches:
             found = []
             for text in batch["__text"]:
                 own = []
-                for at, line in paragraphs(text) if text else ():
-                    words = WORD.findall(line.lower())
-                    if nothing and seeds.isdisjoint(words):
-                        continue
-                    if told := judge(model, words):
+                for block in paragraphs(text) if text else ():
+                    for first, last, told in notices(model, [words for _, _, words in block]):
                         family, probability, confirmed = told
-                        own.append({"start": at, "end": at + len(line), "family": family, "probability": probability, "confirmed": confirmed})
+                        own.append({"start": block[first][0], "end": block[last][1], "family": family, "probability": probability, "confirmed": confirmed})
                 found.append(own)
             out = batch.drop(columns="__text")
             out["found"] = found
@@ -276,8 +340,8 @@ def sample(docs: DataFrame, text: str) -> list[str]:
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_licenses, license, probability, found.
 
-    ``found`` lists the paragraphs (lines) that state a licence: character
-    offsets, family, probability, and whether a template confirmed the family; a
+    ``found`` lists the lines, or neighbouring lines of a paragraph, that state a
+    licence (a notice may be wrapped and stand in comments): character offsets, family, probability, and whether a template confirmed the family; a
     notice of no confirmed family is ``unknown``.  ``license`` is the family of
     the surest confirmed paragraph, else ``unknown`` if there is a notice, else
     NULL.  The classifier is fitted on noisy copies of public notices against at
