@@ -158,6 +158,29 @@ def test_substrings(frame):
     assert substrings.remove_repeats(frame([])).collect() == []
 
 
+def test_substrings_from_mid_sentence_to_mid_sentence(frame):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    copied = words("a", 10) + ". " + words("b", 15) + ". " + words("c", 15) + ". " + words("d", 11)
+    plain = " ".join(words("e", 51).replace("e", "w").split())
+    rows = [
+        (1, words("x", 3) + " " + copied + " " + words("y", 2) + "."), (2, words("v", 4) + " " + copied + " " + words("u", 3) + "."),
+        (3, words("long", 30) + " " + copied + " " + words("tail", 30) + "."), (4, words("p", 40) + " " + plain + " " + words("q", 7)),
+        (5, words("r", 9) + " " + plain + " " + words("s", 50)), (6, copied.replace(" ", "  ").upper() + " END."),
+    ]
+    found = {r.doc_id: r for r in substrings.remove_repeats(frame(rows)).collect()}
+    assert found[1].text == rows[0][1] and found[4].text == rows[3][1]
+    seen = set()
+    for doc_id, text in rows:
+        left = found[doc_id].text.lower().split()
+        passages = {" ".join(left[i : i + 51]) for i in range(len(left) - 50)}
+        assert not passages & seen
+        seen |= passages
+        at = [0, *(x for cut in found[doc_id].removed for x in cut), len(text)]
+        rest = "".join(text[a:b] for a, b in zip(at[::2], at[1::2]))
+        assert found[doc_id].text == (rest.rstrip() if found[doc_id].removed else rest)
+        assert bool(found[doc_id].n_removed_sentences) == (doc_id not in (1, 4))
+
+
 def test_urls(spark):
     made = [
         (1, "http://A.B.Example.NET/en/x?y=/z"), (2, "http://net/"), (3, "http://x.net?q"), (4, None), (5, ""),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -26,6 +27,11 @@ CUT_ONE_IN = 6  # behind one in so many of its words, chosen by the word's own c
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|[.!?]+|\n|$)\s*")
 WORD = re.compile(r"(\S+)\s*")
 
+# Runs of GRAM words, the least hash of every GRAM_WINDOW neighbouring ones: any
+# GRAM + GRAM_WINDOW - 1 = 50 shared words hold one, and they cover without gaps.
+GRAM, GRAM_WINDOW = 26, 25
+FACTOR = 0x9E3779B97F4A7C15
+
 
 def sentence_starts(text: str) -> list[int]:
     """Places where sentences (or pieces of long ones) start; the last entry is the text's length.
@@ -54,12 +60,60 @@ def sentence_starts(text: str) -> list[int]:
     return [*starts, len(text)]
 
 
+def word_starts(text: str) -> list[int]:
+    """Places where words start; the last entry is the text's length."""
+    return [*(word.start() for word in WORD.finditer(text)), len(text)]
+
+
+def gram_places(words: list[str]) -> list[int]:
+    """Places of the runs of ``GRAM`` words that have the least hash (the last of equal ones) in a window."""
+    count = len(words) - GRAM + 1
+    if count < GRAM_WINDOW:
+        return []
+    own = np.array([crc32(word.encode("utf-8", "surrogatepass")) for word in words], np.uint64)
+    own = (own + np.uint64(1)) * np.uint64(FACTOR)
+    own ^= own >> np.uint64(29)
+    value = np.zeros(count, np.uint64)
+    for j in range(GRAM):
+        value = value * np.uint64(FACTOR) + own[j : j + count]
+    value ^= value >> np.uint64(32)
+    value *= np.uint64(0xBF58476D1CE4E5B9)
+    value ^= value >> np.uint64(29)
+    windows = np.lib.stride_tricks.sliding_window_view(value, GRAM_WINDOW)[:, ::-1]
+    return np.unique(np.arange(len(windows)) + GRAM_WINDOW - 1 - windows.argmin(1)).tolist()
+
+
+def removed_stretches(text: str, starts: list[int], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans joined where they touch, without pieces of sentences at their ends.
+
+    A piece of ``GRAM`` words or more goes too, and so does all of a stretch that
+    holds no whole sentence: what is left of 51 repeated words is no such passage.
+    """
+    joined: list[list[int]] = []
+    for a, b in sorted(spans):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    out, words = [], None
+    for a, b in joined:
+        low, high = starts[bisect_left(starts, a)], starts[bisect_right(starts, b) - 1]
+        if (low, high) != (a, b):
+            words = word_starts(text) if words is None else words
+            place = lambda x: bisect_left(words, x)
+            low = low if place(low) - place(a) < GRAM else a
+            high = high if place(b) - place(high) < GRAM else b
+        out.append((low, high) if low < high else (a, b))
+    return out
+
+
 def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, sentence behind the last, and hash of each run in a text.
+    """Offsets of start and end, and hash of each run in a text.
 
     The run from a sentence is the shortest one of ``RUN`` sentences and
     ``LEAST_WORDS`` words or more; near the end of a text there may be none.
-    Case and white space do not count.
+    Others are ``GRAM`` words from wherever :func:`gram_places` says.  Case and
+    white space do not count.
     """
     empty = np.empty(0, np.int32)
     if not text:
@@ -77,10 +131,19 @@ def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             end += 1
         if end - k < RUN or held < LEAST_WORDS:
             break
-        firsts.append(full[k])
-        ends.append(full[end - 1] + 1)
+        firsts.append(starts[full[k]])
+        ends.append(starts[full[end - 1] + 1])
         hashes.append(hashlib.blake2b(" ".join(joined[k:end]).encode("utf-8", "surrogatepass"), digest_size=8).digest())
         held -= counts[k]
+    words = [word for i in full for word in pieces[i]]
+    places = gram_places(words)
+    if places:
+        at = word_starts(text)
+        for k in places:
+            firsts.append(at[k])
+            ends.append(at[k + GRAM])
+            gram = "\0" + " ".join(words[k : k + GRAM])
+            hashes.append(hashlib.blake2b(gram.encode("utf-8", "surrogatepass"), digest_size=8).digest())
     return np.array(firsts, np.int32), np.array(ends, np.int32), np.frombuffer(b"".join(hashes), np.int64)
 
 
@@ -136,7 +199,7 @@ def document_key(doc_id: Column) -> Column:
 
 
 def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts without their covered sentences, and the removed offsets."""
+    """Texts without their covered stretches, and the removed offsets."""
     for batch in batches:
         texts, removed, sentences = [], [], []
         for text, spans in zip(batch["__text"], batch["spans"]):
@@ -144,13 +207,12 @@ def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 texts.append(text), removed.append([]), sentences.append(0)
                 continue
             starts = sentence_starts(text)
-            gone = np.zeros(len(starts) - 1, bool)
-            for span in spans:
-                gone[span["first"] : span["end"]] = True
-            texts.append("".join(text[a:b] for a, b, cut in zip(starts, starts[1:], gone) if not cut).rstrip())
-            cuts = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
-            removed.append([{"start": starts[a], "end": starts[b]} for a, b in zip(cuts[::2], cuts[1::2])])
-            sentences.append(int(gone.sum()))
+            cuts = removed_stretches(text, starts, [(span["first"], span["end"]) for span in spans])
+            at = [0, *(x for cut in cuts for x in cut), len(text)]
+            texts.append("".join(text[a:b] for a, b in zip(at[::2], at[1::2])).rstrip())
+            removed.append([{"start": a, "end": b} for a, b in cuts])
+            gone = {i for a, b in cuts for i in range(bisect_right(starts, a) - 1, bisect_left(starts, b))}
+            sentences.append(len(gone))
         out = batch.drop(columns=["__text", "spans"])
         out["__cut"], out["removed"], out["n_removed_sentences"] = texts, removed, sentences
         yield out
@@ -190,7 +252,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     in characters of the old text) and ``n_removed_sentences`` are added, replacing
     columns of these names.  A passage is a run of three or more consecutive
     sentences with 16 or more words; sentences covered by any run that occurred
-    before (by doc_id, then place; rows without an id come last) go, also within one text.  Long
+    before (by doc_id, then place; rows without an id come last) go, also within one text.
+    Of any 50 words in a row that occurred before, wherever sentences begin, at least 26 are
+    found, and the whole sentences in them go, or the words themselves where there is none.  Long
     sentences are cut into pieces, so texts without full stops have runs too.  A text of which nothing is left is empty, NULL stays NULL, texts too
     short for a run stay as they are, and an empty table gives no rows.
 
