@@ -83,6 +83,21 @@ def test_near_matches(frame, items):
     assert {(r.doc_id, r.item_id) for r in rows} == {(1, 7), (2, 7)}
 
 
+def test_near_matches_of_repeated_and_null_ids(frame, items):
+    draw = np.random.default_rng(4)
+    docs = [(i, " ".join(draw.choice(list("abcdefgh"), 12))) for i in range(40)]
+    phrases = [(7, "a b"), (7, "c d e"), (None, "f g h"), (None, "a h"), (8, "b b c"), (9, "zz a")]
+    expected = set()
+    for item, phrase in phrases:
+        own = set(phrase.split())
+        for doc, text in docs:
+            said = text.split()
+            if any(own <= set(said[i : i + len(own) + 1]) for i in range(len(said))):
+                expected.add((doc, item))
+    rows = decontaminate.near_matches(frame(docs), items(phrases), slop=1).collect()
+    assert len(rows) == len(expected) and {(r.doc_id, r.item_id) for r in rows} == expected
+
+
 def labelled(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, toxic int, score string")
 

@@ -159,29 +159,31 @@ def contamination(
 def near_matches(docs: DataFrame, phrases: DataFrame, slop: int = 5, **columns: str) -> DataFrame:
     """Proximity: rows (doc_id, item_id) where all words of a phrase lie within its length plus ``slop`` words.
 
-    ``phrases`` has item_id and text; a phrase's words count once.  The rarest
+    ``phrases`` has item_id and text; a phrase's words count once.  Rows of
+    ``phrases`` with equal or NULL ids are phrases of their own.  The rarest
     term's positions are the anchors; every other term must have a position
     within the span on either side, and the nearest ones must fit one span.
     """
     names = {"doc_id": "doc_id", "text": "text", "item_id": "item_id", "item_text": "text"} | columns
     asked = phrases.select(F.col(names["item_id"]).alias("item"), F.array_distinct(words(F.col(names["item_text"]))).alias("words"))
     asked = asked.filter(F.size("words") > 0).withColumn("span", F.size("words") + slop)
-    places = asked.select("item", "span", F.size("words").alias("length"), F.explode("words").alias("word"))
+    asked = write_shared(asked.withColumn("phrase", F.monotonically_increasing_id()), "phrases")
+    places = asked.select("phrase", "item", "span", F.size("words").alias("length"), F.explode("words").alias("word"))
     terms = places.select("word").distinct().select("word", F.xxhash64("word").alias("term"))
     few = terms.count() * TERM_BYTES <= 64 * 1024 * 1024
     postings = postings_of(docs, terms, few, names["doc_id"], names["text"])
     counts = postings.groupBy("term").agg(F.count("*").alias("n"))
     places = places.withColumn("term", F.xxhash64("word")).join(counts, "term")
-    ranked = places.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("n", "term")))
-    anchors = postings.join(ranked.filter("rank = 1").select("item", "span", "length", "term"), "term").select(
-        ROW, "__id", "item", "span", "length", F.col("position").alias("anchor")
+    ranked = places.withColumn("rank", F.row_number().over(Window.partitionBy("phrase").orderBy("n", "term")))
+    anchors = postings.join(ranked.filter("rank = 1").select("phrase", "item", "span", "length", "term"), "term").select(
+        ROW, "__id", "phrase", "item", "span", "length", F.col("position").alias("anchor")
     )
     # A window that holds all terms starts at most span - 1 before the anchor: try each start.
     starts = anchors.select("*", F.explode(F.sequence(F.col("anchor") - F.col("span") + 1, F.col("anchor"))).alias("start"))
-    needed = starts.join(ranked.select("item", "term"), "item")
+    needed = starts.join(ranked.select("phrase", "term"), "phrase")
     cells = needed.select("*", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("span") - 1)).alias("position"))
     met = cells.join(postings.select(ROW, "term", "position"), [ROW, "term", "position"])
-    full = met.groupBy(ROW, "__id", "item", "start", "length").agg(F.countDistinct("term").alias("met"))
+    full = met.groupBy(ROW, "__id", "phrase", "item", "start", "length").agg(F.countDistinct("term").alias("met"))
     return (
         full.filter("met = length").select(ROW, "__id", "item").distinct()
         .select(F.col("__id").alias("doc_id"), F.col("item").alias("item_id"))
