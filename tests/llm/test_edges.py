@@ -335,7 +335,6 @@ def test_tokens(frame):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     assert [r.doc_id for r in found] == [None, 1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 10]
     at = 0
     texts = dict((r[0], r[1]) for r in rows)

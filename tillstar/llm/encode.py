@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import sys
+from collections.abc import Callable
 from types import ModuleType
 
-KEPT_PIECES = 250_000  # stretches of text whose ids a worker process keeps, and as many words; some 100 MB
+KEPT_PIECES = 300_000  # newest stretches of text whose ids a worker process keeps, besides as many older ones; some 120 MB
 _STORE = "_tillstar_llm_piece_ids"
 
 # Stretches of ASCII and Latin-1 letters: their words are found here, as the
@@ -36,20 +38,28 @@ BYTES = byte_characters()
 
 
 class Pieces(dict):
-    """Ids by stretch of text, as little-endian 16-bit integers; a missing one is encoded."""
+    """Ids by stretch of text or word, as little-endian 16-bit integers; a missing one is encoded.
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+    When full, it becomes the older generation, from which what is met again
+    comes back, so that frequent stretches stay however many rare ones pass.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode, self.older = encode, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > KEPT_PIECES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(self) >= KEPT_PIECES:
+            self.older = self.copy()
             self.clear()
-        ids = self[piece] = self.encoder.encode_piece(piece)
+        self[piece] = ids
         return ids
 
 
 class Encoder:
-    """A tokenizer for one process; its stores outlive the task."""
+    """A tokenizer for one process; its store outlives the task."""
 
     words: re.Pattern
     lower = False
@@ -59,27 +69,33 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
-        self.pieces, self.known = Pieces(self), {}
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = Pieces(self.encode_piece)
+
+    def holds_added(self, text: str) -> bool:
+        """Whether an added token's string stands in the text: the tokenizer cuts there first."""
+        return any(map(text.__contains__, self.added))
 
     def encode_whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(2, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def encode_piece(self, piece: str) -> bytes:
         if not PLAIN.match(piece):
             return self.encode_whole(piece)
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        parts = []
-        for word in self.words.findall(piece.lower() if self.lower else piece):
-            ids = self.known.get(word)
-            if ids is None:
-                tokens = self.model.tokenize("".join(map(BYTES.__getitem__, word.encode())))
-                ids = self.known[word] = b"".join(x.id.to_bytes(2, "little") for x in tokens)
-            parts.append(ids)
-        return b"".join(parts)
+        if self.lower:
+            piece = piece.lower()
+        if not piece.lstrip(" ").isalpha():
+            words = self.words.findall(piece)
+            if len(words) > 1:  # each is kept apart from the stretches it stands in
+                return b"".join(map(self.pieces.__getitem__, words))
+        if piece.isascii():
+            standing = piece.replace(" ", BYTES[32])
+        else:
+            standing = "".join(map(BYTES.__getitem__, piece.encode()))
+        tokens = self.model.tokenize(standing)
+        return struct.pack(f"<{len(tokens)}H", *[x.id for x in tokens])
 
 
 class WordEncoder(Encoder):
@@ -88,6 +104,8 @@ class WordEncoder(Encoder):
     words, lower = WORD_END_WORDS, True
 
     def __call__(self, text: str) -> bytes:
+        if self.holds_added(text):
+            return self.encode_whole(text)
         pieces = text.replace("\n", " ").split(" ")
         return b"".join(map(self.pieces.__getitem__, pieces))
 
@@ -102,7 +120,7 @@ class ByteEncoder(Encoder):
     words = BYTE_LEVEL_WORDS
 
     def __call__(self, text: str) -> bytes:
-        if loose(text):
+        if loose(text) or self.holds_added(text):
             return self.encode_whole(text)
         pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return b"".join(map(self.pieces.__getitem__, pieces))
