@@ -73,5 +73,15 @@ FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items t ON d.doc_id = t
 """
 
 
+EXACT_DUPLICATES = """
+WITH n AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents
+), g AS (
+  SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC}
+    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC, "op11_exactdup": EXACT_DUPLICATES}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, grammar, licenses, neardup, packing, quality, substrings, toxicity, urls, warc
+from tillstar.llm import decontaminate, exactdup, grammar, licenses, neardup, packing, quality, substrings, toxicity, urls, warc
 from tillstar.llm.common import ROW, read_table
 
 # The rules of the URL query.
@@ -61,6 +62,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_exactdup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = exactdup.group_equal(read_table(spark, sf_dir, "documents"), all_digests=True)
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return told.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality, op9_tokens, op10_licenses]
+    made = [
+        op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality,
+        op9_tokens, op10_licenses, op11_exactdup,
+    ]
     return {query.__name__: query for query in made}
