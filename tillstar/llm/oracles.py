@@ -83,5 +83,68 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+def _leaf(*fields: str) -> str:
+    held = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in fields]
+    return f"sha256({' || '.join(held)})"
+
+
+# CRC-32 bit by bit: each digit is xored in, then the register is shifted eight times.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(len({0})), lambda k:
+    [ascii(substr({0}, k + 1, 1)), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[]))), lambda a, x:
+    CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+_LEVELS = """
+  SELECT tree, level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {0}) WHERE n > 1 GROUP BY tree, level, i // 16
+"""
+
+MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i,
+         {_leaf("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 5 = 0
+              THEN {_leaf("doc_id", "source", "lang", "n_chars", LOWER.format("text"))} END AS changed
+  FROM documents
+), nodes(tree, level, i, digest) AS (
+  SELECT tree, 0, i, leaf FROM leaves UNION ALL {_LEVELS.format("nodes")}
+), subroots AS (
+  SELECT tree AS of_tree, digest FROM (SELECT *, count(*) OVER (PARTITION BY tree, level) AS n FROM nodes) WHERE n = 1
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY level) = 1
+), top(tree, level, i, digest) AS (
+  SELECT -1::BIGINT, 0, of_tree, digest FROM subroots UNION ALL {_LEVELS.format("top")}
+), root AS (
+  SELECT digest AS root FROM top ORDER BY level DESC LIMIT 1
+), paths AS (
+  SELECT doc_id, 0 AS part, n.level, l.i >> (4 * n.level) AS own, n.i, n.digest
+  FROM leaves l JOIN nodes n ON l.tree = n.tree AND n.i >> 4 = l.i >> (4 * n.level + 4)
+  UNION ALL
+  SELECT doc_id, 1, n.level, l.tree >> (4 * n.level), n.i, n.digest
+  FROM leaves l JOIN top n ON n.i >> 4 = l.tree >> (4 * n.level + 4)
+), steps AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, level) AS step,
+         coalesce(string_agg(digest, '' ORDER BY i) FILTER (WHERE i < own), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY i) FILTER (WHERE i > own), '') AS behind
+  FROM paths p
+  WHERE level < (SELECT max(level) FROM top) AND part = 1
+     OR part = 0 AND EXISTS (SELECT 1 FROM leaves l JOIN nodes n USING (tree) WHERE l.doc_id = p.doc_id AND n.level = p.level + 1)
+  GROUP BY doc_id, part, level
+), folds(doc_id, step, digest) AS (
+  SELECT doc_id, 0::BIGINT, coalesce(changed, leaf) FROM leaves
+  UNION ALL
+  SELECT f.doc_id, s.step, sha256(before || digest || behind)
+  FROM folds f JOIN steps s ON f.doc_id = s.doc_id AND s.step = f.step + 1
+), proofs AS (
+  SELECT doc_id, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY doc_id
+), ends AS (
+  SELECT doc_id, arg_max(digest, step) AS folded_root FROM folds GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.of_tree JOIN ends e ON l.doc_id = e.doc_id
+     LEFT JOIN proofs p ON l.doc_id = p.doc_id, root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC, "op11_exactdup": EXACT_DUPLICATES}
+    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC, "op11_exactdup": EXACT_DUPLICATES, "op12_manifest": MANIFEST}

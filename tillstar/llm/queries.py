@@ -8,8 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, exactdup, grammar, licenses, neardup, packing, quality, substrings, toxicity, urls, warc
-from tillstar.llm.common import ROW, read_table
+from tillstar.llm import (
+    decontaminate,
+    exactdup,
+    grammar,
+    licenses,
+    manifest,
+    neardup,
+    packing,
+    quality,
+    substrings,
+    toxicity,
+    urls,
+    warc,
+)
+from tillstar.llm.common import ROW, lower_ascii, read_table
 
 # The rules of the URL query.
 URL_RULES = [
@@ -68,9 +81,26 @@ def op11_exactdup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def tampered(fields):
+        fifth = F.crc32(fields["doc_id"].cast("string")) % 5 == 0
+        return fifth, {"text": lower_ascii(fields["text"])}
+
+    proved = manifest.prove_documents(read_table(spark, sf_dir, "documents"), changed=tampered)
+    back = manifest.folded(F.coalesce("changed_leaf", "leaf"), F.col("places"), F.col("siblings"))
+    return proved.select(
+        F.col("order").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        back.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality,
-        op9_tokens, op10_licenses, op11_exactdup,
+        op9_tokens, op10_licenses, op11_exactdup, op12_manifest,
     ]
     return {query.__name__: query for query in made}
