@@ -31,7 +31,7 @@ def test_equals_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = __spark_entry__.queries()
     numbers = sorted(int(name[2:].split("_")[0]) for name in found if name.startswith("op"))
-    assert numbers == list(range(1, 13)) and "pipeline" in found
+    assert numbers == list(range(1, 14)) and "pipeline" in found
 
 
 def test_toxicity_on_held_out_labels(spark):

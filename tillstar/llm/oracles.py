@@ -146,5 +146,47 @@ FROM leaves l JOIN subroots s ON l.tree = s.of_tree JOIN ends e ON l.doc_id = e.
 """
 
 
+_APART = "({0} - {1}) * ({0} - {1}) // ({0} + {1})"
+
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+  FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY lang, source, term
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS total FROM counts GROUP BY lang, term HAVING sum(docs) >= 10
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(total) AS n FROM kept GROUP BY lang
+), sources AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT c.* FROM counts c SEMI JOIN kept USING (lang, term)) USING (lang, source)
+  GROUP BY lang, source
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 2) // (s.n + 2 * v) AS p,
+         1 + 1000000000 * (total + 2) // (l.n + 2 * v) AS q
+  FROM sources s JOIN kept k USING (lang) JOIN langs l USING (lang)
+       LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum({_APART.format("a.p", "b.p")}) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, {_APART.format("p", "q")} FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC, "op11_exactdup": EXACT_DUPLICATES, "op12_manifest": MANIFEST}
+    return {
+        "op1_decontaminate": DECONTAMINATION, "op5_urls": URLS, "op6_warc": WARC, "op11_exactdup": EXACT_DUPLICATES, "op12_manifest": MANIFEST,
+        "op13_divergence": DIVERGENCE,
+    }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import (
     decontaminate,
+    divergence,
     exactdup,
     grammar,
     licenses,
@@ -98,9 +99,13 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_decontaminate, op2_toxicity, op3_packing, op4_substrings, op5_urls, op6_warc, op7_neardup, op8_quality,
-        op9_tokens, op10_licenses, op11_exactdup, op12_manifest,
+        op9_tokens, op10_licenses, op11_exactdup, op12_manifest, op13_divergence,
     ]
     return {query.__name__: query for query in made}
