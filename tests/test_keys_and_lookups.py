@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from oracle import DATA
 from tillstar.operators import add_dense_key, add_group_size, dedupe, flag_unique, look_up, require
-from tillstar.operators.lookup import hot_keys, measure
+from tillstar.operators.clean import first_per_key
+from tillstar.operators.keys import number_sorted, store_sorted
+from tillstar.operators.lookup import heavy_hitters, hot_keys
+from tillstar.operators.sizes import measure
 from tillstar.plans.star import build_fact
 from tillstar.verify import queries as registered
 
@@ -63,7 +66,7 @@ def test_no_task_sees_the_whole_table(spark):
 
 
 def test_copies_shrink_before_the_shuffle(spark):
-    text = plan(dedupe(spark.range(9).select((F.col("id") % 2).alias("k"), "id"), ["k"]))
+    text = plan(first_per_key(spark.range(9).select((F.col("id") % 2).alias("k"), "id"), ["k"], ["id"]))
     steps = [line for line in text.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
     assert "WindowGroupLimit" in steps[0] and "WindowGroupLimit" in steps[2]
     assert "Exchange" in steps[1]
@@ -109,16 +112,18 @@ def test_hot_rows_are_spread(spark, skewed, dimension):
     assert max(r["count"] for r in sizes) < 3 * 30_000 / 8
 
 
-def test_uniqueness_under_skew(skewed):
-    rows = flag_unique(skewed, "row", {"u": "k"}).collect()
+@pytest.mark.parametrize("sizes", [(1 << 26, 0), (0, 0), (0, 1 << 26)])
+def test_uniqueness_under_skew(skewed, sizes):
+    rows = flag_unique(skewed, "row", {"u": "k"}, *sizes).collect()
     values = [r.k for r in rows]
     assert len(rows) == 30_000
     once = {k for k in set(values) if values.count(k) == 1}
     assert all(r.u == (r.k in once) for r in rows)
 
 
-def test_group_sizes_under_skew(skewed):
-    rows = add_group_size(skewed, "row", "k", "n").collect()
+@pytest.mark.parametrize("sizes", [(1 << 26, 0), (0, 0), (0, 1 << 26)])
+def test_group_sizes_under_skew(skewed, sizes):
+    rows = add_group_size(skewed, "row", "k", "n", *sizes).collect()
     sizes: dict = {}
     for r in rows:
         sizes[r.k] = sizes.get(r.k, 0) + 1
@@ -159,7 +164,8 @@ def test_days_outside_the_calendar_have_no_key(spark):
     assert fact.filter("order_date IS NULL AND date_key IS NOT NULL").count() == 0
 
 
-def test_dedupe_agrees_with_plain_python(spark):
+@pytest.mark.parametrize("sizes", [(1 << 26, 0), (0, 0), (0, 1 << 26)])
+def test_dedupe_agrees_with_plain_python(spark, sizes):
     draw = random.Random(5)
     rows = [
         (
@@ -176,7 +182,7 @@ def test_dedupe_agrees_with_plain_python(spark):
         if row[0] not in first or rank < first[row[0]][0]:
             first[row[0]] = (rank, row)
     df = spark.createDataFrame(rows, "k int, a string, b double, c boolean").repartition(11)
-    kept = {r.k: tuple(r) for r in dedupe(df, ["k"]).collect()}
+    kept = {r.k: tuple(r) for r in dedupe(df, ["k"], None, *sizes).collect()}
     assert kept == {k: row for k, (_, row) in first.items()}
 
 
@@ -185,16 +191,81 @@ def test_even_keys_are_not_hot_however_many_partitions(spark):
     assert hot_keys(even, F.col("k"), 20_000) == {}
 
 
-def test_one_pass_for_all_uniqueness_flags(spark):
-    text = plan(registered.wide_table(spark, SF, "products"))
-    assert text.split("\n\n")[0].count("Window (") <= 2
+@pytest.mark.parametrize("sizes", [(1 << 26, 0), (0, 0), (0, 1 << 26)])
+def test_uniqueness_of_two_columns(spark, sizes):
+    rows = [(1, "a", 1.0), (2, "a", None), (3, None, 2.0), (4, "1.0", 2.0), (5, "z", 0.0), (6, "y", -0.0)]
+    flags = {"u": "a", "v": "b"}
+    found = flag_unique(spark.createDataFrame(rows, "id int, a string, b double"), "id", flags, *sizes).collect()
+    assert {r.id: (r.u, r.v) for r in found} == {
+        1: (False, True), 2: (False, True), 3: (True, False), 4: (True, False), 5: (True, False), 6: (True, False),
+    }
 
 
-def test_uniqueness_of_two_columns(spark):
-    rows = [(1, "a", 1.0), (2, "a", None), (3, None, 2.0), (4, "1.0", 2.0)]
-    flags = {"u": "a", "v": "b"}
-    found = flag_unique(spark.createDataFrame(rows, "id int, a string, b double"), "id", flags).collect()
-    assert {r.id: (r.u, r.v) for r in found} == {1: (False, True), 2: (False, True), 3: (True, False), 4: (True, False)}
+def exchanges(df) -> int:
+    return plan(df).split("\n\n")[0].count(" Exchange (")
+
+
+def test_flags_cost_one_exchange_by_value_and_one_by_key(spark):
+    """Beyond what may be broadcast, however many flags there are: values, keys, and the rows' own."""
+    rows = spark.range(40).select("id", (F.col("id") % 7).alias("a"), (F.col("id") % 9).alias("b"), (F.col("id") % 3).alias("c"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(flag_unique(rows, "id", {"u": "a"}, 0, 0)) == 3
+        assert exchanges(flag_unique(rows, "id", {"u": "a", "v": "b", "w": "c"}, 0, 0)) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges(flag_unique(rows, "id", {"u": "a", "v": "b", "w": "c"}, 0)) == 0
+
+
+def test_rows_of_single_keys_are_neither_sorted_nor_shuffled(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") > 995, 5).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    kept = dedupe(rows, ["k"], small_bytes=0)
+    assert kept.count() == 996 and "LeftAnti" in plan(kept) and "LeftSemi" in plan(kept)
+    assert exchanges(kept) == 1  # of the few rows that share a key
+    assert exchanges(dedupe(spark.range(9), ["id"], small_bytes=0)) == 0
+
+
+def test_keys_of_columns_that_may_be_null(spark):
+    rows = [(None, 1, "b"), (None, 1, "a"), (2, None, "c"), (2, None, None), (2, 3, "d")]
+    df = spark.createDataFrame(rows, "a int, b int, v string")
+    for sizes in ((1 << 26, 0), (0, 0), (0, 1 << 26)):
+        assert sorted(map(str, dedupe(df, ["a", "b"], None, *sizes).collect())) == sorted(
+            ["Row(a=None, b=1, v='a')", "Row(a=2, b=None, v='c')", "Row(a=2, b=3, v='d')"]
+        )
+
+
+def test_numbers_come_from_files_and_places(spark):
+    rows = spark.range(5_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit("wide").alias("w")).repartition(7)
+    path = store_sorted(rows, "k", "test")
+    numbered = number_sorted(spark, path, rows.schema, "k", "n")
+    text = plan(numbered)
+    assert "SortMergeJoin" not in text and exchanges(numbered) == 0
+    order = sorted(f"k{i}" for i in range(5_000))
+    assert {r.k: r.n for r in numbered.collect()} == {k: i + 1 for i, k in enumerate(order)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # files are cut, rows keep their places
+    try:
+        assert sorted(numbered.collect()) == sorted(number_sorted(spark, path, rows.schema, "k", "n").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_pass_finds_the_hot_keys_of_all_columns(spark, skewed):
+    rows = skewed.withColumn("t", F.when(F.col("row") % 4 == 0, "hot").otherwise(F.col("row").cast("string")))
+    found = heavy_hitters(rows, {"k": F.col("k"), "t": F.col("t"), "row": F.col("row")}, 8)
+    assert found == {"k": {4: [7]}, "t": {2: ["hot"]}, "row": {}}
+
+
+def test_counts_of_the_sketch_stay_within_its_error(spark):
+    """Every key with a third more rows than an average partition is found, none with a third less."""
+    skewed = spark.range(400_000).select(F.pow(F.rand(3) * 60_000, F.lit(1.0)).cast("long").alias("k"), F.rand(4).alias("r"))
+    rows = skewed.select(F.when(F.col("r") < 0.3, (F.col("k") % 40) * (F.col("k") % 3)).otherwise(F.col("k") + 100).alias("k"))
+    rows = rows.repartition(6)
+    exact = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+    for partitions in (20, 200):
+        hot = {k for keys in hot_keys(rows, F.col("k"), partitions).values() for k in keys}
+        average = 400_000 / partitions
+        assert {k for k, n in exact.items() if n > max(50, average * 4 / 3)} <= hot
+        assert all(exact[k] > average * 2 / 3 for k in hot)
 
 
 def test_parts_are_bounded(spark, skewed):

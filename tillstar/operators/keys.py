@@ -1,54 +1,68 @@
-"""Dense surrogate keys 1..n in natural-key order, built on all tasks."""
+"""Dense surrogate keys 1..n in natural-key order, read off the places of rows in sorted files."""
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tillstar.session import write_shared
+from tillstar.operators.sizes import fits
+from tillstar.session import new_path, write_shared
 
-# monotonically_increasing_id holds the partition in the upper 31 bits and the
-# row's place within the partition in the lower 33.
-PLACE_BITS = 33
+FILE_BYTES = 256  # of a file in the table of starts
 
 
-def number_keys(keys: DataFrame, by: str, name: str) -> DataFrame:
-    """Number the values of ``by``, unique and not NULL, as 1..n in their order.
+def store_sorted(df: DataFrame, by: str, label: str) -> str:
+    """Write ``df`` as Parquet files of disjoint ranges of ``by``, each sorted by it, and return their folder."""
+    path = new_path(df.sparkSession, label)
+    df.repartitionByRange(by).sortWithinPartitions(by).write.parquet(path)
+    return path
+
 
-    Values are range-partitioned and sorted, and each gets its partition and
-    its place there.  The result is written to the shared folder, because range
-    bounds are sampled: counting and numbering must read the same rows, also
-    after an executor is lost.  Only one count per partition reaches the
-    driver, where they become the partitions' starting numbers.
+def file_starts(spark: SparkSession, path: str, schema: StructType, by: str) -> DataFrame:
+    """Per file of a sorted folder: how many rows stand in the files before it.
+
+    One row a file, taken from one column of the files; its prefix sum is over
+    as many rows as the folder has files, whatever they hold.
     """
-    slot = F.col("_slot")
-    placed = write_shared(
-        keys.select(by)
-        .repartitionByRange(by)
-        .sortWithinPartitions(by)
-        .withColumn("_slot", F.monotonically_increasing_id()),
-        name,
+    files = (
+        spark.read.schema(schema)
+        .parquet(path)
+        .groupBy(F.col("_metadata.file_name").alias("_file"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(by).alias("first"))
     )
-    partition = F.shiftright(slot, PLACE_BITS)
-    place = slot.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(before), F.lit(0))
+    return write_shared(files.select("_file", start.alias("_start")), "starts")
 
-    sizes = dict(
-        placed.groupBy(partition.alias("partition")).agg((F.max(place) + 1).alias("n")).collect()
-    )
-    counts = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
-    starts = [0, *accumulate(counts)][: len(counts)]
-    bases = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
 
-    number = F.element_at(bases, (partition + 1).cast("int")) + place + 1
-    return placed.select(by, number.alias(name))
+def number_sorted(spark: SparkSession, path: str, schema: StructType, by: str, name: str) -> DataFrame:
+    """The rows of a folder that :func:`store_sorted` has written, with their numbers in front.
+
+    A number is the start of the row's file and the row's place in it.  Both are
+    facts of files that are written once, so the numbers are the same whenever
+    they are read, also after an executor is lost; nothing is sorted, shuffled
+    or joined to find them but the small table of starts.
+    """
+    starts = file_starts(spark, path, schema, by)
+    rows = spark.read.schema(schema).parquet(path)
+    placed = rows.select("*", F.col("_metadata.file_name").alias("_in"), F.col("_metadata.row_index").alias("_row"))
+    starts = F.broadcast(starts) if fits(starts, FILE_BYTES) else starts
+    number = F.col("_start") + F.col("_row") + 1
+    return placed.join(starts, F.col("_in") == F.col("_file")).select(number.alias(name), *rows.columns)
 
 
 def add_dense_key(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Put the number of each row's ``by`` in front of its columns.
+    """Number the rows of ``df`` by ``by``, unique and not NULL, as 1..n in its order; the number comes first.
 
-    Only ``by`` is sampled, sorted and stored; the wide rows meet their numbers
-    in one equi-join on a unique key.
+    Rows are shuffled once, by ranges of ``by``, and stored sorted in the shared
+    folder; the wide rows are neither joined to their numbers nor gathered in
+    one task.
     """
-    return df.join(number_keys(df, by, name), by, "left").select(name, *df.columns)
+    path = store_sorted(df, by, name)
+    return number_sorted(df.sparkSession, path, df.schema, by, name)
+
+
+def number_keys(keys: DataFrame, by: str, name: str) -> DataFrame:
+    """(``by``, number) only."""
+    return add_dense_key(keys.select(by), by, name).select(by, name)

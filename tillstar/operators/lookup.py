@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 << 20
-VALUE_BYTES = 16  # counted per value, besides the text it holds
-SAMPLE_ROWS = 1_000_000  # counted to find hot keys, or so many per partition:
-SAMPLE_PER_PARTITION = 10
-LEAST_SAMPLED = 50  # sampled rows of a hot key; fewer may be chance
+from tillstar.operators.sizes import BROADCAST_BYTES, measure
+
+TRACKED = 10_000  # keys that a sketch holds, or so many per partition:
+TRACKED_PER_PARTITION = 8
+MOST_TRACKED = 1_000_000
+LEAST_ROWS = 50  # of a hot key, however small an average partition is
 
 
 def narrowed(dimension: DataFrame, match: str, take: Mapping[str, str]) -> DataFrame:
@@ -24,39 +24,38 @@ def narrowed(dimension: DataFrame, match: str, take: Mapping[str, str]) -> DataF
     )
 
 
-def measure(tables: Sequence[DataFrame]) -> list[int]:
-    """Bytes each table holds, counted over its rows, all in one job."""
+def heavy_hitters(rows: DataFrame, keys: Mapping[str, Column], partitions: int) -> dict[str, dict[int, list]]:
+    """Per name, the keys that hold more rows than an average partition, by the parts they need.
 
-    def size(place: int, df: DataFrame) -> DataFrame:
-        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-        held = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
-        rows = F.count(F.lit(1)) * (VALUE_BYTES * len(df.columns))
-        return df.agg(sum(held, rows).alias("bytes")).select(F.lit(place).alias("place"), "bytes")
+    A key with up to twice that many rows needs two parts, up to four times
+    four, and so on; together that is fewer than twice ``partitions`` parts.
 
-    sizes = reduce(DataFrame.union, (size(i, df) for i, df in enumerate(tables)))
-    return [row.bytes for row in sorted(sizes.collect())]
+    All columns are read in one pass into frequent-item sketches, which tasks
+    build and merge.  A sketch holds at least ``TRACKED_PER_PARTITION`` keys a
+    partition (up to a million), so a count is off by less than a third of an
+    average partition, and a key with a third more rows than that is never
+    missed (beyond 125,000 partitions the bound grows in proportion).  The outcome decides how
+    rows are spread, never which are kept.
+    """
+    tracked = min(MOST_TRACKED, max(TRACKED, TRACKED_PER_PARTITION * partitions))
+    named = {name: f"_k{i}" for i, name in enumerate(keys)}
+    narrow = rows.select(*(key.alias(named[name]) for name, key in keys.items()))
+    most = min(partitions + 1, tracked)  # more keys than partitions cannot all be above the average; NULL is one
+    sketches = [F.expr(f"approx_top_k({column}, {most}, {tracked})").alias(column) for column in named.values()]
+    told = narrow.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    average = told["_rows"] / partitions
+    found: dict[str, dict[int, list]] = {}
+    for name, column in named.items():
+        hot = found[name] = {}
+        for item in told[column]:
+            if item["item"] is not None and item["count"] > max(average, LEAST_ROWS):
+                hot.setdefault(2 ** math.ceil(math.log2(item["count"] / average)), []).append(item["item"])
+    return found
 
 
 def hot_keys(rows: DataFrame, key: Column, partitions: int) -> dict[int, list]:
-    """Keys that hold more rows than an average partition, by the parts they need.
-
-    A key with up to twice that many rows needs two parts, up to four times
-    four, and so on; together that is fewer than twice ``partitions`` parts.
-    Rows are counted on a sample of the key column of about ``SAMPLE_ROWS``
-    rows (more with very many partitions), in which a hot key has at least
-    ``LEAST_SAMPLED``, so there are at most 20,000 hot keys, or a fifth of the
-    partitions.  The outcome decides how rows are spread, never which are kept.
-    """
-    total = rows.count()
-    share = min(1.0, max(SAMPLE_ROWS, SAMPLE_PER_PARTITION * partitions) / max(total, 1))
-    keys = rows.select(key.alias("k")).filter("k IS NOT NULL")
-    sampled = keys if share == 1.0 else keys.sample(share, seed=7)
-    average = total * share / partitions
-    hot: dict[int, list] = {}
-    counts = sampled.groupBy("k").agg(F.count("*").alias("n"))
-    for row in counts.filter((F.col("n") > average) & (F.col("n") >= LEAST_SAMPLED)).collect():
-        hot.setdefault(2 ** math.ceil(math.log2(row.n / average)), []).append(row.k)
-    return hot
+    """:func:`heavy_hitters` of one column."""
+    return heavy_hitters(rows, {"key": key}, partitions)["key"]
 
 
 def with_parts(rows: DataFrame, key: Column, hot: Mapping[int, list]) -> DataFrame:
@@ -86,7 +85,7 @@ def look_up(
     spread_by: str,
     broadcast_bytes: int = BROADCAST_BYTES,
     size: int | None = None,
-    keys_from: DataFrame | None = None,
+    hot: Mapping[int, list] | None = None,
 ) -> DataFrame:
     """Left join ``dimension`` on ``on`` = ``match`` and add the columns ``take``.
 
@@ -97,8 +96,8 @@ def look_up(
     done that).  Up to ``broadcast_bytes`` it is broadcast.  Beyond that both
     sides are shuffled, and rows whose key is hot or NULL are spread by a salt
     from ``spread_by``, a unique column; the dimension row of a hot key is
-    repeated once per part.  Hot keys are sought in ``keys_from``, a stored
-    table with the same keys, or else in ``rows``.
+    repeated once per part.  ``hot`` is what :func:`heavy_hitters` says of ``on``,
+    if the caller has asked for several lookups at once.
     """
     narrow = narrowed(dimension, match, take)
     kept = [F.col(c) for c in [*rows.columns, *take.values()]]
@@ -110,7 +109,8 @@ def look_up(
         return rows.join(F.broadcast(narrow), same_key, "left").select(*kept)
 
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(rows if keys_from is None else keys_from, on, partitions)
+    if hot is None:
+        hot = hot_keys(rows, on, partitions)
     parts = F.when(on.isNull(), partitions).otherwise(F.col("_parts"))
     left = with_parts(rows, on, hot).withColumn("_salt", F.pmod(F.xxhash64(spread_by), parts))
     salts = F.sequence(F.lit(0), F.col("_parts") - 1)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.keys import add_dense_key, number_keys
-from tillstar.operators.lookup import BROADCAST_BYTES, look_up, measure, narrowed
+from tillstar.operators.lookup import heavy_hitters, look_up, narrowed
+from tillstar.operators.sizes import BROADCAST_BYTES, measure
 from tillstar.session import write_shared
 
 
@@ -240,6 +241,11 @@ def build_fact(
     sizes = measure([narrowed(tables[k.dimension], k.match, k.take) for k in layout.lookups])
     apart = max(sizes) > broadcast_bytes
     first = sorted(ids) if apart else [*sorted(ids), *measures]
+    # All ids of the fact that meet a large dimension, in one pass; chained ones are not known yet.
+    large = {k.on: k.value(F.col(k.on)) for k, size in zip(layout.lookups, sizes) if size > broadcast_bytes}
+    known = {on: key for on, key in large.items() if on in wide.columns}
+    partitions = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = heavy_hitters(wide, known, partitions) if known else {}
     rows = add_dense_key(wide.select(*first), layout.natural, layout.key)
     for lookup, size in zip(layout.lookups, sizes):
         if size > broadcast_bytes and lookup.on not in wide.columns:
@@ -253,7 +259,7 @@ def build_fact(
             spread_by=layout.natural,
             broadcast_bytes=broadcast_bytes,
             size=size,
-            keys_from=wide if lookup.on in wide.columns else rows,
+            hot=hot.get(lookup.on),
         )
     if apart:
         rows = wide.select(layout.natural, *measures).join(rows, layout.natural, "left")

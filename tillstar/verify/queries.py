@@ -23,14 +23,14 @@ from tillstar.operators import (
     transform,
     validate,
 )
-from tillstar.operators.lookup import BROADCAST_BYTES
+from tillstar.operators.sizes import BROADCAST_BYTES
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, key_table
 from tillstar.plans.tables import TABLES
 from tillstar.session import is_local, new_path, side_by_side, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
-from tillstar.sources.csv import BAD_RECORD, extract_all, read_csv
+from tillstar.sources.csv import BAD_RECORD, extract_all, file_inventory, read_csv
 from tillstar.sources.schemas import SCHEMAS
 from tillstar.verify.bindings import given, source_table
 
@@ -128,6 +128,39 @@ def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed(BAD_RECORD, "bad_record")
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose fields hold line breaks and quotes, cut into its records by the quotes before them."""
+    id_ = F.col("customer_id")
+    note = (
+        F.when(id_ % 7 == 1, F.concat(F.lit('said "so"\nand "went"\n'), F.col("address")))
+        .when(id_ % 7 == 3, F.concat_ws("\n", F.array_repeat(F.col("city"), (id_ % 50).cast("int"))))
+        .otherwise(F.col("address"))
+    )
+    rows = source_table(spark, sf_dir, "customers").filter("customer_id IS NOT NULL").select("customer_id", note.alias("note"), "age")
+    path = new_path(spark, "breaks.csv")
+    write_csv(rows, path)
+    return read_csv(spark, path, "customer_id BIGINT, note STRING, age INT", by_quotes=True)
+
+
+def csv_corrupt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with a file that is no gzip file, though its name says so: what was read, and what was left out."""
+    path = new_path(spark, "products.csv")
+    products = source_table(spark, sf_dir, "products")
+    write_csv(products, path)
+    write_csv(products, f"{path}-plain")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}-plain/part-*")):
+        files.rename(file.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/broken.csv.gz"))
+        break
+    read = read_csv(spark, path, SCHEMAS["products"], multi_line=False, skip_corrupt=True)
+    rows = read.agg(F.lit("rows").alias("what"), F.lit("").alias("name"), F.count(F.lit(1)).alias("n"))
+    left_out = file_inventory(spark, path).filter("state <> 'read'")
+    return rows.unionByName(
+        left_out.select(F.col("state").alias("what"), F.element_at(F.split("file", "/"), -1).alias("name"), F.lit(1).cast("long").alias("n"))
+    )
+
+
 def column_total(df: DataFrame, column: str) -> Column:
     """A whole number that every value of the column has a part in."""
     kind, value = df.schema[column].dataType.simpleString(), F.col(column)
@@ -193,6 +226,12 @@ def dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(given(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def dedupe_counted_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per key as in a large table: only rows whose key repeats are ordered."""
+    orders = require(source_table(spark, sf_dir, "orders"), ["order_id"])
+    return dedupe(orders, ["order_id"], small_bytes=0)
+
+
 def required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = TABLES["shipments"]
     return require(source_table(spark, sf_dir, rules.name), [rules.key, *rules.required])
@@ -224,6 +263,14 @@ def unique_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unique_flag_counted_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flags as in a large table: rows stay in place, repeated values come to them."""
+    flags = {"is_unique_user": "user_id", "is_unique_ts": "ts"}
+    return flag_unique(given(spark, sf_dir, "events"), "event_id", flags, small_bytes=0).select(
+        "event_id", *flags
+    )
+
+
 def group_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         given(spark, sf_dir, "lineitem")
@@ -368,16 +415,20 @@ def queries() -> dict[str, Query]:
     return {
         "csv_roundtrip": csv_roundtrip,
         "csv_bad_records": csv_bad_records,
+        "csv_line_breaks": csv_line_breaks,
+        "csv_corrupt_files": csv_corrupt_files,
         "extract_all": extract_tables,
         "parquet_roundtrip": parquet_roundtrip,
         "parquet_partitioned": parquet_partitioned,
         "jdbc_roundtrip": jdbc_roundtrip,
         "dedupe_by_key": dedupe_by_key,
+        "dedupe_counted_first": dedupe_counted_first,
         "required_keys": required_keys,
         "failed_rows": failed_rows,
         "text_standardise": text_standardise,
         "project_rename": project_rename,
         "unique_flag": unique_flag,
+        "unique_flag_counted_first": unique_flag_counted_first,
         "group_size": group_size,
         "surrogate_key": surrogate_key,
         "key_lookup": key_lookup,
