@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillstar.operators.sizes import fits
-from tillstar.session import new_path, write_shared
-
-FILE_BYTES = 256  # of a file in the table of starts
+from tillstar.session import new_path
 
 
 def store_sorted(df: DataFrame, by: str, label: str) -> str:
@@ -19,21 +18,26 @@ def store_sorted(df: DataFrame, by: str, label: str) -> str:
     return path
 
 
+def _in_bytes(value: object) -> object:
+    """Text as Spark orders it."""
+    return value.encode() if isinstance(value, str) else value
+
+
 def file_starts(spark: SparkSession, path: str, schema: StructType, by: str) -> DataFrame:
     """Per file of a sorted folder: how many rows stand in the files before it.
 
-    One row a file, taken from one column of the files; its prefix sum is over
-    as many rows as the folder has files, whatever they hold.
+    Taken from one column of the files; a row a file comes to the driver, which
+    lists the files anyway.
     """
     files = (
         spark.read.schema(schema)
         .parquet(path)
-        .groupBy(F.col("_metadata.file_name").alias("_file"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(by).alias("first"))
+        .groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.min(by).alias("first"), F.count(F.lit(1)).alias("n"))
     )
-    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(before), F.lit(0))
-    return write_shared(files.select("_file", start.alias("_start")), "starts")
+    rows = sorted(files.collect(), key=lambda row: _in_bytes(row["first"]))
+    starts = accumulate((row.n for row in rows), initial=0)
+    return spark.createDataFrame([(row.file, start) for row, start in zip(rows, starts)], "_file string, _start long")
 
 
 def number_sorted(spark: SparkSession, path: str, schema: StructType, by: str, name: str) -> DataFrame:
@@ -42,14 +46,13 @@ def number_sorted(spark: SparkSession, path: str, schema: StructType, by: str, n
     A number is the start of the row's file and the row's place in it.  Both are
     facts of files that are written once, so the numbers are the same whenever
     they are read, also after an executor is lost; nothing is sorted, shuffled
-    or joined to find them but the small table of starts.
+    or joined to find them but the table of starts, a row a file.
     """
     starts = file_starts(spark, path, schema, by)
     rows = spark.read.schema(schema).parquet(path)
     placed = rows.select("*", F.col("_metadata.file_name").alias("_in"), F.col("_metadata.row_index").alias("_row"))
-    starts = F.broadcast(starts) if fits(starts, FILE_BYTES) else starts
     number = F.col("_start") + F.col("_row") + 1
-    return placed.join(starts, F.col("_in") == F.col("_file")).select(number.alias(name), *rows.columns)
+    return placed.join(F.broadcast(starts), F.col("_in") == F.col("_file")).select(number.alias(name), *rows.columns)
 
 
 def add_dense_key(df: DataFrame, by: str, name: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -21,7 +23,7 @@ BAD_RECORD = "_bad_record"
 
 def _whole_number(kind: str) -> Callable[[Column], Column]:
     """Whole numbers, also as exports of nullable columns write them (``12.0``)."""
-    return lambda text: F.regexp_replace(text, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind)
+    return lambda text: F.coalesce(text.try_cast(kind), F.regexp_replace(text, r"^([+-]?\d+)\.0*$", "$1").try_cast(kind))
 
 
 def _boolean(text: Column) -> Column:
@@ -252,15 +254,14 @@ def read_csv(
         raw = spark.read.schema(texts).options(**options).csv(path)
 
     typed = {n: kind for n, kind in declared.items() if not isinstance(kind, T.StringType)}
-    values = {n: _parsed(n, kind) for n, kind in typed.items()}
-    unread = [
-        F.when((F.trim(F.col(f"`{n}`")) != "") & value.isNull(), F.concat(F.lit(f"{n}="), F.col(f"`{n}`")))
-        for n, value in values.items()
-    ]
-    told = F.nullif(F.concat_ws("; ", *unread), F.lit("")) if unread else F.lit(None)
-    rows = raw.select(
-        *(values[n].alias(n) if n in values else F.col(f"`{n}`") for n in header),
-        F.coalesce(F.col(BAD_RECORD), told.cast("string")).alias(BAD_RECORD),
+    # Values are computed once, beside their texts; only a record with a bad one has its texts written out.
+    valued = raw.select("*", *(_parsed(n, kind).alias(f"_value of {n}") for n, kind in typed.items()))
+    bad = [(F.trim(F.col(f"`{n}`")) != "") & F.col(f"`_value of {n}`").isNull() for n in typed]
+    unread = [F.when(test, F.concat(F.lit(f"{n}="), F.col(f"`{n}`"))) for n, test in zip(typed, bad)]
+    told = F.when(reduce(or_, bad), F.concat_ws("; ", *unread)) if typed else F.lit(None).cast("string")
+    rows = valued.select(
+        *(F.col(f"`_value of {n}`").alias(n) if n in typed else F.col(f"`{n}`") for n in header),
+        F.coalesce(F.col(BAD_RECORD), told).alias(BAD_RECORD),
     )
     if keep_bad:
         return rows
