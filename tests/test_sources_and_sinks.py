@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from oracle import DATA
 from tillstar import session
 from tillstar.__main__ import main
+from tillstar.plans import pipeline
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS
 from tillstar.plans.tables import TABLES
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
-from tillstar.sources.csv import extract_all, read_csv
+from tillstar.sources.csv import extract_all, file_inventory, read_csv
 from tillstar.sources.schemas import SCHEMAS
 from tillstar.verify import queries as registered
 from tillstar.verify.bindings import source_table
@@ -257,6 +259,134 @@ def test_run_writes_everything_twice_the_same(spark, tmp_path):
         assert jdbc.read_table(spark, MEMORY, name).count() == rows[name]
 
 
+def test_a_failed_load_leaves_the_old_tables(spark):
+    jdbc.load_tables({"a1": spark.range(3), "a2": spark.range(4)}, MEMORY)
+    broken = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        jdbc.load_tables({"a1": spark.range(9), "a2": broken}, MEMORY)
+    counts = lambda: [jdbc.read_table(spark, MEMORY, name).count() for name in ("a1", "a2")]
+    assert counts() == [3, 4]
+    with pytest.raises(Exception, match="(?i)nowhere"):  # the names change together or not at all
+        jdbc._take_names(spark, MEMORY, ["a1", "nowhere"])
+    assert counts() == [3, 4]
+    assert jdbc.load_tables({"a1": spark.range(9), "a2": spark.range(5)}, MEMORY) == {"a1": 9, "a2": 5}
+    assert counts() == [9, 5]
+
+
+def test_rows_that_came_twice_are_an_error(spark, monkeypatch):
+    jdbc.load_tables({"b1": spark.range(3)}, MEMORY)
+    send = jdbc._send
+    monkeypatch.setattr(jdbc, "_send", lambda df, *rest: send(df.union(df.limit(1)), *rest))
+    with pytest.raises(RuntimeError, match="b1 got 7 rows, 6 were sent"):
+        jdbc.load_tables({"b1": spark.range(6)}, MEMORY)
+    assert jdbc.read_table(spark, MEMORY, "b1").count() == 3
+
+
+def quoted(draw):
+    kind = draw.random()
+    if kind < 0.5:
+        return "".join(draw.choice("abc é") for _ in range(draw.randrange(8)))
+    if kind < 0.55:
+        return '"' + "line\n" * draw.randrange(60) + '"'
+    return '"' + "".join(draw.choice(["a", "b", ",", "\n", " ", '""']) for _ in range(draw.randrange(12))) + '"'
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_files_are_cut_by_their_quotes(spark, tmp_path, end):
+    """Records of many ranges, two files, quotes and blank lines: as one task reads them."""
+    draw = random.Random(4)
+    for name in ("a.csv", "b.csv"):
+        rows = [f"{i},{quoted(draw)},{quoted(draw)}" + end * (i % 9 == 0) for i in range(700)]
+        (tmp_path / name).write_bytes(end.join(["id,x,y.z", *rows, ""]).encode())
+    schema = "id BIGINT, x STRING, `y.z` STRING"
+    whole = sorted(map(str, read_csv(spark, str(tmp_path), schema).collect()))
+    assert len(whole) == 1400
+    for size in ("128m", "400"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            found = read_csv(spark, str(tmp_path), schema, by_quotes=True)
+            assert sorted(map(str, found.collect())) == whole
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_cut_files_name_their_faults(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text('id,note\n1,"a\nb"\nx,"c"\n3\n')
+    rows = read_csv(spark, str(file), "id BIGINT, note STRING", by_quotes=True, keep_bad=True).collect()
+    assert sorted((str(r.id), r.note, r._bad_record) for r in rows) == [("1", "a\nb", None), ("3", None, "3"), ("None", "c", "id=x")]
+    (tmp_path / "u").mkdir()
+    (tmp_path / "u/a.csv").write_text("id,note\n1,2\n")
+    (tmp_path / "u/b.csv").write_text("note,id\n1,2\n")
+    with pytest.raises(Exception, match="another header in .*csv"):
+        read_csv(spark, str(tmp_path / "u"), "id BIGINT, note STRING", by_quotes=True).collect()
+    file.write_text('id,note\n1,6" pipe\n')
+    with pytest.raises(ValueError, match="t.csv do not pair"):
+        read_csv(spark, str(file), "id BIGINT, note STRING", by_quotes=True)
+    file.write_text("id,note\n")
+    assert read_csv(spark, str(file), "id BIGINT, note STRING", by_quotes=True).collect() == []
+
+
+def test_inventory_of_broken_files(spark, tmp_path):
+    whole = gzip.compress(b"id\n" + b"7\n" * 100_000)
+    (tmp_path / "a+1 é.csv").write_text("id\n1\n")
+    (tmp_path / "b 2.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "c%41.csv.gz").write_bytes(b"no gzip at all")
+    (tmp_path / "d.csv").write_text("id\n")
+    found = {r.bytes: (r.lines > 0, r.state) for r in file_inventory(spark, str(tmp_path)).collect()}
+    assert found == {5: (True, "read"), len(whole) // 2: (True, "in part"), 14: (False, "left out"), 3: (True, "read")}
+
+
+def test_a_run_tells_what_it_left_out(spark, tmp_path):
+    for name, schema in SCHEMAS.items():
+        (tmp_path / "raw" / f"{name}.csv").mkdir(parents=True)
+        header = ",".join(column.split()[0] for column in schema.split(","))
+        (tmp_path / "raw" / f"{name}.csv" / "a.csv").write_text(header + "\n")
+    (tmp_path / "raw/stores.csv/b.csv.gz").write_bytes(b"no gzip at all")
+    rows = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"), skip_corrupt=True).collect()
+    told = {(r.table_name, r.metric): r.value for r in rows if r.metric.startswith(("files", "left", "in part"))}
+    assert told["wide_stores", "files_left_out"] == told["wide_stores", "left out: b.csv.gz"] == 1
+    assert sum(told.values()) == 2
+
+
+def test_a_broken_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "out")
+    registered.side_by_side(lambda name: registered.write_csv(source_table(spark, SF, name), f"{raw}/{name}.csv"), TABLES)
+    dates = registered.calendar(spark, SF)
+    run = lambda folder, **how: sorted(map(str, run_pipeline(spark, raw, folder, registered.AS_OF, dates, **how).collect()))
+
+    class Broken(Exception):
+        pass
+
+    def fail(*_):
+        raise Broken
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "build_fact", fail)
+        with pytest.raises(Broken):
+            run(root)
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "transform", fail)  # nothing that is finished is built again
+        patch.setattr(pipeline, "build_dimension", fail)
+        resumed = run(root, resume=True)
+        patch.setattr(pipeline, "build_fact", fail)
+        assert run(root, resume=True) == resumed
+    assert resumed == run(str(tmp_path / "other"))
+    for name in FACTS:
+        there = [sorted(map(str, spark.read.parquet(parquet.fact_path(r, name)).collect())) for r in (root, str(tmp_path / "other"))]
+        assert there[0] == there[1]
+
+    built = []
+    make = pipeline.transform
+    monkeypatch.setattr(pipeline, "transform", lambda df, rules, as_of: built.append(rules.name) or make(df, rules, as_of))
+    registered.write_csv(source_table(spark, SF, "returns").limit(50), f"{raw}/returns2")
+    (tmp_path / "raw/returns.csv" / "more.csv").write_bytes(next((tmp_path / "raw/returns2").glob("part-*")).read_bytes())
+    run(root, resume=True)
+    assert built == ["returns"]
+
+
 def test_run_uses_the_default_calendar(spark, tmp_path):
     tables = {name: spark.createDataFrame([], schema) for name, schema in SCHEMAS.items()}
     rows = run_pipeline(spark, tables, str(tmp_path)).filter("metric = 'rows'").collect()

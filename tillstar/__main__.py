@@ -13,7 +13,6 @@ from tillstar.plans.pipeline import run_pipeline
 from tillstar.session import get_session
 from tillstar.sinks.jdbc import Database
 from tillstar.sources.calendar import FIRST_DATE, LAST_DATE, build_dim_date
-from tillstar.sources.csv import extract_all
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -26,12 +25,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--multi-line",
         action="store_true",
-        help="fields may hold line breaks; a file is then read by one task",
+        help="fields may hold line breaks; files are then cut into records by their quotes",
     )
     parser.add_argument(
         "--bad-records", type=int, default=0, help="records of a table that may be unreadable in part"
     )
-    parser.add_argument("--skip-corrupt", action="store_true", help="leave out unreadable files")
+    parser.add_argument("--skip-corrupt", action="store_true", help="leave out unreadable files, and tell which")
+    parser.add_argument("--resume", action="store_true", help="take over the tables that an earlier run has finished")
     parser.add_argument("--jdbc-url", help="also load dimensions and facts into this database")
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     parser.add_argument("--jdbc-user", help="the password is read from TILLSTAR_JDBC_PASSWORD")
@@ -49,16 +49,18 @@ def main(arguments: list[str] | None = None) -> None:
     shared = SparkSession.getActiveSession() is not None  # someone else's: theirs to stop
     spark = get_session()
     try:
-        tables = extract_all(
+        dates = build_dim_date(spark, given.first_date, given.last_date)
+        written = run_pipeline(
             spark,
             given.source,
-            multi_line=given.multi_line,
+            given.root,
+            AsOf(given.as_of),
+            dates,
+            database,
+            given.bad_records,
+            by_quotes=given.multi_line,
             skip_corrupt=given.skip_corrupt,
-            keep_bad=True,
-        )
-        dates = build_dim_date(spark, given.first_date, given.last_date)
-        written = run_pipeline(
-            spark, tables, given.root, AsOf(given.as_of), dates, database, given.bad_records
+            resume=given.resume,
         )
         written.orderBy("table_name", "metric").show(written.count(), truncate=False)
     finally:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tillstar.functions import AsOf
 from tillstar.operators.quality import flag_counts
 from tillstar.operators.rules import transform
+from tillstar.plans.progress import Progress, files_version, fingerprint, layout_parts, rules_parts
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact
 from tillstar.plans.tables import TABLES
 from tillstar.session import scratch, side_by_side
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
-from tillstar.sources.csv import BAD_RECORD, extract_all
+from tillstar.sources.csv import BAD_RECORD, file_inventory, read_csv
+from tillstar.sources.schemas import SCHEMAS
 
 ORDERS = "fact_orders"
 
@@ -29,6 +31,10 @@ def run_pipeline(
     database: jdbc.Database | None = None,
     bad_records: int = 0,
     facts_partitioned_by: Mapping[str, Sequence[str]] = {},
+    by_quotes: bool = False,
+    skip_corrupt: bool = False,
+    version: str | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Build everything under ``root`` and return rows (table_name, metric, value).
 
@@ -38,27 +44,70 @@ def run_pipeline(
     they hold, and the facts that need order keys read two columns of the
     written order fact.  Row and flag counts come out of the writes.
 
-    CSV files are read in splits, without line breaks in fields; pass
-    ``extract_all(spark, folder, keep_bad=True)`` for files that have some.  More
-    than ``bad_records`` bad records in a table are an error once it is written.
+    CSV files are read in splits, without line breaks in fields; with
+    ``by_quotes`` fields may hold some.  With ``skip_corrupt`` broken files are
+    left out, and the run tells how many and which (``files_left_out``,
+    ``files_in_part``, and a metric of 1 with the name of each).  More than
+    ``bad_records`` bad records in a table are an error once it is written.
     ``facts_partitioned_by`` lays facts out by columns, such as ``fact_orders`` by
     ``order_year`` and ``order_month`` (added then from its date).
+
+    Every table of a folder that is finished gets a record of what it was made
+    from: files, rules, layout, and the tables it was built on.  With ``resume``
+    a table whose record says the same is taken over as it is, so a run that
+    broke off goes on where it stopped, and one after a change builds what
+    follows from it.  Tables given as such are recorded if ``version`` names
+    their content.
     """
-    raw = extract_all(spark, source, multi_line=False, keep_bad=True) if isinstance(source, str) else source
+    folder = source.rstrip("/") if isinstance(source, str) else None
+    progress = Progress(spark, root, resume)
+    versions: dict[str, str] = {}
     wide: dict[str, DataFrame] = {}
+    star: dict[str, DataFrame] = {}
+
+    def keep(
+        name: str, parts: Sequence, path: str, into: dict[str, DataFrame], build: Callable[[], tuple[dict[str, int], DataFrame]]
+    ) -> dict[str, int]:
+        """Build, write and record a table, or take it over."""
+        recorded = None not in parts
+        label = f"wide_{name}" if into is wide else name
+        versions[label] = fingerprint(*parts) if recorded else None
+        found = progress.take(label, versions[label], path)
+        if found and recorded:
+            into[name] = found.table
+            return found.counts
+        counts, written = build()
+        into[name] = written
+        if recorded:
+            progress.put(label, versions[label], counts, written.schema)
+        return counts
 
     def keep_wide(name: str) -> dict[str, int]:
-        rules, seen = TABLES[name], Observation()
-        rows, bad = raw[name], F.lit(0).cast("bigint")
-        if BAD_RECORD in rows.columns:
-            bad = F.count(BAD_RECORD)
-        counted = [F.count(F.lit(1)).alias("rows_initial"), bad.alias("bad_records")]
-        df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
-        counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
-        wide[name] = spark.read.schema(df.schema).parquet(parquet.wide_path(root, name))
-        # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
-        source = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
-        return counts | row_counts(source, counts["rows"])
+        rules, path = TABLES[name], parquet.wide_path(root, name)
+        made_from = folder and f"{folder}/{name}.csv"
+        told = files_version(spark, made_from) if made_from else version
+
+        def build() -> tuple[dict[str, int], DataFrame]:
+            seen = Observation()
+            if made_from:
+                how = {"multi_line": False, "keep_bad": True, "by_quotes": by_quotes, "skip_corrupt": skip_corrupt}
+                rows = read_csv(spark, made_from, SCHEMAS[name], **how)
+            else:
+                rows = source[name]
+            bad = F.lit(0).cast("bigint")
+            if BAD_RECORD in rows.columns:
+                bad = F.count(BAD_RECORD)
+            counted = [F.count(F.lit(1)).alias("rows_initial"), bad.alias("bad_records")]
+            df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
+            counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+            # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
+            before = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
+            counts |= row_counts(before, counts["rows"])
+            if made_from and skip_corrupt:
+                counts |= left_out(made_from)
+            return counts, spark.read.schema(df.schema).parquet(path)
+
+        return keep(name, [told, rules_parts(rules, as_of), by_quotes, skip_corrupt], path, wide, build)
 
     def row_counts(seen: dict[str, int], rows: int) -> dict[str, int]:
         if seen["bad_records"] > bad_records:
@@ -66,28 +115,46 @@ def run_pipeline(
         removed = seen["rows_initial"] - rows
         return seen | {"rows_cleaned": rows, "rows_final": rows, "duplicates_removed": removed}
 
-    star: dict[str, DataFrame] = {}
+    def left_out(path: str) -> dict[str, int]:
+        broken = file_inventory(spark, path).filter("state <> 'read'").collect()  # a row a broken file
+        counts = {f"files_{s.replace(' ', '_')}": sum(f.state == s for f in broken) for s in ("left out", "in part")}
+        return counts | {f"{f.state}: {f.file.rsplit('/', 1)[-1]}": 1 for f in broken}
 
     def keep_dimension(name: str) -> dict[str, int]:
-        if name == "dim_date":
-            df = build_dim_date(spark) if dim_date is None else dim_date
-        else:
-            df = build_dimension(name, wide[DIMENSIONS[name].table])
-        counts = parquet.load_dimension(df, root, name)
-        star[name] = spark.read.schema(df.schema).parquet(parquet.dimension_path(root, name))
-        return counts
+        path = parquet.dimension_path(root, name)
+
+        def build() -> tuple[dict[str, int], DataFrame]:
+            if name == "dim_date":
+                df = build_dim_date(spark) if dim_date is None else dim_date
+            else:
+                df = build_dimension(name, wide[DIMENSIONS[name].table])
+            counts = parquet.load_dimension(df, root, name)
+            return counts, spark.read.schema(df.schema).parquet(path)
+
+        if name == "dim_date":  # small, and given as a table that has no version
+            counts = keep(name, [None], path, star, build)
+            days = star[name].agg(F.min("date"), F.max("date")).first()
+            versions[name] = fingerprint(counts["rows"], *days)
+            return counts
+        layout = DIMENSIONS[name]
+        return keep(name, [versions[f"wide_{layout.table}"], layout_parts(layout)], path, star, build)
 
     def keep_fact(name: str) -> dict[str, int]:
-        df = build_fact(name, wide[FACTS[name].table], star)
-        layout = list(facts_partitioned_by.get(name, ()))
-        if name == ORDERS and layout:
-            day = F.col("order_date")
-            parts = {"order_year": F.year(day), "order_month": F.month(day)}
-            df = df.withColumns({c: parts[c] for c in layout if c in parts})
-        counts = parquet.load_fact(df, root, name, layout)
-        star[name] = spark.read.schema(df.schema).parquet(parquet.fact_path(root, name)).drop(
-            "order_year", "order_month"
-        )
+        path, layout = parquet.fact_path(root, name), FACTS[name]
+        laid_out = list(facts_partitioned_by.get(name, ()))
+
+        def build() -> tuple[dict[str, int], DataFrame]:
+            df = build_fact(name, wide[layout.table], star)
+            if name == ORDERS and laid_out:
+                day = F.col("order_date")
+                parts = {"order_year": F.year(day), "order_month": F.month(day)}
+                df = df.withColumns({c: parts[c] for c in laid_out if c in parts})
+            counts = parquet.load_fact(df, root, name, laid_out)
+            return counts, spark.read.schema(df.schema).parquet(path)
+
+        built_on = [versions[k.dimension] for k in layout.lookups]
+        counts = keep(name, [versions[f"wide_{layout.table}"], *built_on, layout_parts(layout), laid_out], path, star, build)
+        star[name] = star[name].drop("order_year", "order_month")
         return counts
 
     with scratch(spark):  # keys and ids on their way; all that stays is under ``root``
