@@ -14,7 +14,7 @@ from tillstar.operators import add_dense_key, add_group_size, dedupe, flag_uniqu
 from tillstar.operators.clean import first_per_key
 from tillstar.operators.keys import number_sorted, store_sorted
 from tillstar.operators.lookup import heavy_hitters, hot_keys
-from tillstar.operators.sizes import measure
+from tillstar.operators.sizes import known_size, measure, stored_with_size
 from tillstar.plans.star import build_fact
 from tillstar.verify import queries as registered
 
@@ -90,6 +90,13 @@ def test_measure_counts_rows_and_text(spark, dimension):
     assert measure([spark.range(10), dimension]) == [160, 900 * 32 + sum(len(f"v{i}") for i in range(900))]
 
 
+def test_sizes_of_numbers_need_no_count(spark, dimension):
+    assert known_size(spark.range(10), 10) == measure([spark.range(10)])[0]
+    assert known_size(dimension, 900) is None and known_size(spark.range(10), None) is None
+    stored, size = stored_with_size(dimension, "test")
+    assert size == measure([dimension])[0] and stored.count() == 900
+
+
 def test_hot_keys_are_found(skewed):
     assert hot_keys(skewed, F.col("k"), 8) == {4: [7]}  # 10,015 rows, 3,750 on average
 

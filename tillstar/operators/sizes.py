@@ -31,6 +31,13 @@ def measure(tables: Sequence[DataFrame]) -> list[int]:
     return [row.bytes for row in sorted(sizes.collect())]
 
 
+def known_size(df: DataFrame, rows: int | None) -> int | None:
+    """The bytes of a table of so many rows as :func:`measure` counts them, if it holds no text."""
+    if rows is None or any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+        return None
+    return rows * VALUE_BYTES * len(df.columns)
+
+
 def fits(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> bool:
     """Whether a stored table, at so many bytes a row, may be sent to every executor."""
     return df.count() * row_bytes <= most

@@ -64,6 +64,7 @@ def run_pipeline(
     versions: dict[str, str] = {}
     wide: dict[str, DataFrame] = {}
     star: dict[str, DataFrame] = {}
+    rows_of: dict[str, int] = {}
 
     def keep(
         name: str, parts: Sequence, path: str, into: dict[str, DataFrame], build: Callable[[], tuple[dict[str, int], DataFrame]]
@@ -144,7 +145,7 @@ def run_pipeline(
         laid_out = list(facts_partitioned_by.get(name, ()))
 
         def build() -> tuple[dict[str, int], DataFrame]:
-            df = build_fact(name, wide[layout.table], star)
+            df = build_fact(name, wide[layout.table], star, rows_of=rows_of)
             if name == ORDERS and laid_out:
                 day = F.col("order_date")
                 parts = {"order_year": F.year(day), "order_month": F.month(day)}
@@ -154,6 +155,7 @@ def run_pipeline(
 
         built_on = [versions[k.dimension] for k in layout.lookups]
         counts = keep(name, [versions[f"wide_{layout.table}"], *built_on, layout_parts(layout), laid_out], path, star, build)
+        rows_of[name] = counts["rows"]
         star[name] = star[name].drop("order_year", "order_month")
         return counts
 
@@ -161,6 +163,7 @@ def run_pipeline(
         loaded = side_by_side(keep_wide, TABLES)
         written = {f"wide_{name}": counts for name, counts in loaded.items()}
         written |= side_by_side(keep_dimension, ["dim_date", *DIMENSIONS])
+        rows_of |= {name: written[name]["rows"] for name in ["dim_date", *DIMENSIONS]}
         written |= side_by_side(keep_fact, [ORDERS])
         written |= side_by_side(keep_fact, [name for name in FACTS if name != ORDERS])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.keys import add_dense_key, number_keys
 from tillstar.operators.lookup import heavy_hitters, look_up, narrowed
-from tillstar.operators.sizes import BROADCAST_BYTES, measure
+from tillstar.operators.sizes import BROADCAST_BYTES, known_size, measure
 from tillstar.session import write_shared
 
 
@@ -223,6 +223,7 @@ def build_fact(
     wide: DataFrame,
     tables: Mapping[str, DataFrame],
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_of: Mapping[str, int] = {},
 ) -> DataFrame:
     """The fact: surrogate key, keys looked up in ``tables``, measures.
 
@@ -231,6 +232,7 @@ def build_fact(
     keys are found for the ids alone and meet the measures in one last join, so
     the wide rows are shuffled once, however many such dimensions there are.
     ``wide`` and ``tables`` should be stored: parts of them are read on their own.
+    ``rows_of`` tells the rows of tables whose count is known; others are counted.
     """
     layout = FACTS[name]
     found = {column for lookup in layout.lookups for column in lookup.take.values()}
@@ -238,7 +240,10 @@ def build_fact(
     ids = {layout.natural, *(lookup.on for lookup in layout.lookups)} - found
     measures = sorted(set(source.values()) - ids)
 
-    sizes = measure([narrowed(tables[k.dimension], k.match, k.take) for k in layout.lookups])
+    narrow = [narrowed(tables[k.dimension], k.match, k.take) for k in layout.lookups]
+    told = [known_size(table, rows_of.get(k.dimension)) for table, k in zip(narrow, layout.lookups)]
+    counted = iter(measure([table for table, size in zip(narrow, told) if size is None]))
+    sizes = [next(counted) if size is None else size for size in told]
     apart = max(sizes) > broadcast_bytes
     first = sorted(ids) if apart else [*sorted(ids), *measures]
     # All ids of the fact that meet a large dimension, in one pass; chained ones are not known yet.
