@@ -25,7 +25,6 @@ CUT_ONE_IN = 6  # behind one in so many of its words, chosen by the word's own c
 
 # A piece of text up to and with the end of a sentence or line and the white space behind it.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|[.!?]+|\n|$)\s*")
-WORD = re.compile(r"(\S+)\s*")
 
 # Runs of GRAM words, the least hash of every GRAM_WINDOW neighbouring ones: any
 # GRAM + GRAM_WINDOW - 1 = 50 shared words hold one, and they cover without gaps.
@@ -33,14 +32,33 @@ GRAM, GRAM_WINDOW = 26, 25
 FACTOR = 0x9E3779B97F4A7C15
 
 
-def sentence_starts(text: str) -> list[int]:
+# Which characters up to U+3000 are white space; none beyond is.
+SPACES = np.array([chr(code).isspace() for code in range(0x3002)])
+
+
+def word_starts(text: str) -> np.ndarray:
+    """Places where words start."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = SPACES[np.minimum(codes, len(SPACES) - 1)]
+    return np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+
+
+def checksums(words: list[str]) -> np.ndarray:
+    return np.fromiter((crc32(word.encode("utf-8", "surrogatepass")) for word in words), np.uint32, len(words))
+
+
+def sentence_starts(text: str, at: np.ndarray | None = None, sums: np.ndarray | None = None) -> list[int]:
     """Places where sentences (or pieces of long ones) start; the last entry is the text's length.
 
     A sentence ends behind ``.``, ``!`` or ``?`` followed by white space, or at
     a line's end; the white space behind it belongs to it.  A long sentence is
     cut behind words that their own checksum picks, so the pieces of a repeated
-    passage are the same wherever the sentences around it begin.
+    passage are the same wherever the sentences around it begin.  ``at`` and
+    ``sums`` are the starts and checksums of the text's words, if they are known.
     """
+    if at is None:
+        at, sums = word_starts(text), checksums(text.lower().split())
+    cut_behind = sums % CUT_ONE_IN == 0
     starts, fresh = [], 0
     for found in SENTENCE.finditer(text):
         end = found.end()
@@ -51,27 +69,24 @@ def sentence_starts(text: str) -> list[int]:
             continue
         starts.append(fresh)
         if end - fresh > LONG_SENTENCE:
-            for word in WORD.finditer(text, fresh, end):
-                if crc32(word[1].lower().encode("utf-8", "surrogatepass")) % CUT_ONE_IN == 0 and word.end() < end:
-                    starts.append(word.end())
+            low, high = at.searchsorted((fresh, end))
+            if high - low > 1:  # a cut is where the next word of the sentence starts
+                starts += at[low + 1 : high][cut_behind[low : high - 1]].tolist()
         fresh = end
     if fresh < len(text):
         starts.append(fresh)
     return [*starts, len(text)]
 
 
-def word_starts(text: str) -> list[int]:
-    """Places where words start; the last entry is the text's length."""
-    return [*(word.start() for word in WORD.finditer(text)), len(text)]
-
+def gram_places(sums: np.ndarray) -> list[int]:
+    """Places of the runs of ``GRAM`` words that have the least hash (the last of equal ones) in a window.
 
-def gram_places(words: list[str]) -> list[int]:
-    """Places of the runs of ``GRAM`` words that have the least hash (the last of equal ones) in a window."""
-    count = len(words) - GRAM + 1
+    Words are given by their checksums.
+    """
+    count = len(sums) - GRAM + 1
     if count < GRAM_WINDOW:
         return []
-    own = np.array([crc32(word.encode("utf-8", "surrogatepass")) for word in words], np.uint64)
-    own = (own + np.uint64(1)) * np.uint64(FACTOR)
+    own = (sums.astype(np.uint64) + np.uint64(1)) * np.uint64(FACTOR)
     own ^= own >> np.uint64(29)
     value = np.zeros(count, np.uint64)
     for j in range(GRAM):
@@ -99,7 +114,7 @@ def removed_stretches(text: str, starts: list[int], spans: list[tuple[int, int]]
     for a, b in joined:
         low, high = starts[bisect_left(starts, a)], starts[bisect_right(starts, b) - 1]
         if (low, high) != (a, b):
-            words = word_starts(text) if words is None else words
+            words = [*word_starts(text).tolist(), len(text)] if words is None else words
             place = lambda x: bisect_left(words, x)
             low = low if place(low) - place(a) < GRAM else a
             high = high if place(b) - place(high) < GRAM else b
@@ -107,6 +122,10 @@ def removed_stretches(text: str, starts: list[int], spans: list[tuple[int, int]]
     return out
 
 
+def _digest(words: list[str], mark: str = "") -> bytes:
+    return hashlib.blake2b((mark + " ".join(words)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+
+
 def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Offsets of start and end, and hash of each run in a text.
 
@@ -118,32 +137,30 @@ def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     empty = np.empty(0, np.int32)
     if not text:
         return empty, empty, np.empty(0, np.int64)
-    starts = sentence_starts(text)
-    pieces = [text[a:b].lower().split() for a, b in zip(starts, starts[1:])]
-    full = [i for i, piece in enumerate(pieces) if piece]  # white space alone is no sentence
-    counts = [len(pieces[i]) for i in full]
-    joined = [" ".join(pieces[i]) for i in full]
+    words, at = text.lower().split(), word_starts(text)
+    sums = checksums(words)
+    starts = sentence_starts(text, at, sums)
+    of_piece = at.searchsorted(starts).tolist()  # each piece's first word; white space alone is no piece
+    full = [i for i in range(len(starts) - 1) if of_piece[i + 1] > of_piece[i]]
+    from_word = [of_piece[i] for i in full] + [len(words)]
     firsts, ends, hashes = [], [], []
-    end, held = 0, 0
-    for k in range(len(full)):
-        while end < len(full) and (end - k < RUN or held < LEAST_WORDS):
-            held += counts[end]
+    end = 0
+    for k, first in enumerate(from_word[:-1]):
+        end = max(end, k)
+        while end < len(full) and (end - k < RUN or from_word[end] - first < LEAST_WORDS):
             end += 1
-        if end - k < RUN or held < LEAST_WORDS:
+        if end - k < RUN or from_word[end] - first < LEAST_WORDS:
             break
         firsts.append(starts[full[k]])
         ends.append(starts[full[end - 1] + 1])
-        hashes.append(hashlib.blake2b(" ".join(joined[k:end]).encode("utf-8", "surrogatepass"), digest_size=8).digest())
-        held -= counts[k]
-    words = [word for i in full for word in pieces[i]]
-    places = gram_places(words)
+        hashes.append(_digest(words[first : from_word[end]]))
+    places = gram_places(sums)
     if places:
-        at = word_starts(text)
+        places_at = [*at.tolist(), len(text)]
         for k in places:
-            firsts.append(at[k])
-            ends.append(at[k + GRAM])
-            gram = "\0" + " ".join(words[k : k + GRAM])
-            hashes.append(hashlib.blake2b(gram.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+            firsts.append(places_at[k])
+            ends.append(places_at[k + GRAM])
+            hashes.append(_digest(words[k : k + GRAM], "\0"))
     return np.array(firsts, np.int32), np.array(ends, np.int32), np.frombuffer(b"".join(hashes), np.int64)
 
 
