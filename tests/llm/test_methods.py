@@ -143,3 +143,17 @@ def test_license_classifier_on_noisy_notices():
                 total += 1
     assert right / total > 0.9
     assert all(licenses.judge(model, licenses.WORD.findall(x)) is None for x in plain)
+
+
+def test_marginals_of_long_texts_are_those_of_one_chain():
+    draw = np.random.default_rng(5)
+    sizes = [0, 5, 127, 128, 129, 1000, 3, 0, 777]
+    values, chain = draw.normal(-1, 3, sum(sizes)), draw.normal(0, 1.5, (2, 2))
+    whole, at = [np.empty(0)], 0
+    for size in sizes:
+        if size:
+            whole.append(toxicity.marginals(values[None, at : at + size], np.array([size]), chain)[0][0])
+        at += size
+    found = toxicity.document_marginals(values, sizes, chain)
+    assert np.allclose(found, np.concatenate(whole), atol=1e-12)
+    assert not len(toxicity.document_marginals(np.empty(0), [0, 0], chain))

@@ -22,7 +22,7 @@ MOST_CHARS = 20_000  # of a document that is learnt from; longer ones are only s
 MARKER_G2 = 20.0  # log-likelihood ratio from which a feature marks tokens of toxic documents as toxic
 MARKER_RATIO = 5.0
 USED_G2 = 3.84  # of a feature that the model may weigh
-SEQUENCE = 128  # tokens of a chain
+SEQUENCE = 128  # tokens of a strip; the fit takes each as a chain, scores hand the state on from strip to strip
 EPOCHS, RATE, SHRINK = 80, 0.2, 1e-4
 CACHE_WORDS = 300_000  # words whose scores a task keeps
 
@@ -46,10 +46,18 @@ class Model:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features(word))
 
 
-def marginals(emission: np.ndarray, lengths: np.ndarray, chain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(
+    emission: np.ndarray,
+    lengths: np.ndarray,
+    chain: np.ndarray,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over padded chains: P(toxic) per token, log normaliser per chain, expected transitions.
 
     ``emission`` (chains x steps) is the score of the toxic label, that of the other is 0.
+    ``before`` (2 x chains) are the weights of the labels of the token before, 0 where there is
+    none; ``after`` the weights of what follows, by the label of the last token.
     """
     n, steps = emission.shape
     inside = np.arange(steps) < lengths[:, None]
@@ -60,6 +68,11 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, chain: np.ndarray) -> t
     for k in range(steps):
         if k == 0:
             a0, a1 = np.ones(n), e[:, 0]
+            if before is not None:
+                p0, p1 = before
+                begins = p0 + p1 == 0
+                a0 = np.where(begins, a0, p0 * t[0, 0] + p1 * t[1, 0])
+                a1 = np.where(begins, a1, (p0 * t[0, 1] + p1 * t[1, 1]) * e[:, 0])
         else:
             p0, p1 = forward[k - 1]
             a0, a1 = p0 * t[0, 0] + p1 * t[1, 0], (p0 * t[0, 1] + p1 * t[1, 1]) * e[:, k]
@@ -70,7 +83,7 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, chain: np.ndarray) -> t
             out = ~inside[:, k]
             forward[k][:, out] = forward[k - 1][:, out]
     toxic = np.zeros((n, steps))
-    b0, b1 = np.ones(n), np.ones(n)
+    b0, b1 = (np.ones(n), np.ones(n)) if after is None else after
     moves = np.zeros((2, 2))
     for k in range(steps - 1, -1, -1):
         f0, f1 = forward[k]
@@ -88,10 +101,62 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, chain: np.ndarray) -> t
     return toxic, log_z, moves
 
 
+def transfers(emission: np.ndarray, lengths: np.ndarray, chain: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Per strip the weights of all ways from the label before it to that of its last token: 2 x 2 x strips.
+
+    A strip that ``begins`` a text has the same weights whatever comes before.
+    """
+    n, steps = emission.shape
+    e = np.exp(np.clip(emission, -30, 30))
+    t = np.exp(chain)
+    ways = np.zeros((2, 2, n))
+    ways[0, 0] = ways[1, 1] = 1.0
+    for k in range(steps):
+        to0 = ways[:, 0] * t[0, 0] + ways[:, 1] * t[1, 0]
+        to1 = (ways[:, 0] * t[0, 1] + ways[:, 1] * t[1, 1]) * e[:, k]
+        if k == 0:
+            to0, to1 = np.where(begins, 1.0, to0), np.where(begins, e[:, 0], to1)
+        scale = (to0 + to1).sum(0)
+        here = k < lengths
+        ways[:, 0], ways[:, 1] = np.where(here, to0 / scale, ways[:, 0]), np.where(here, to1 / scale, ways[:, 1])
+    return ways
+
+
+def document_marginals(values: np.ndarray, sizes: list[int], chain: np.ndarray) -> np.ndarray:
+    """P(toxic) of every token of consecutive documents, each one chain however long.
+
+    All strips are gone through side by side.  A first pass gives the weights of
+    the ways through each; multiplied along a document they give the state at
+    both ends of every strip, from which the marginals are those of the whole chain.
+    """
+    padded, lengths, place = in_chains(values, sizes)
+    if not len(place):
+        return np.empty(0)
+    strips = -(-np.array(sizes) // SEQUENCE)
+    first = np.cumsum(strips) - strips
+    nth = np.arange(len(lengths)) - np.repeat(first, strips)  # of its document
+    before, after = np.zeros((2, len(lengths))), np.ones((2, len(lengths)))
+    if nth.any():
+        ways = transfers(padded, lengths, chain, nth == 0)
+        state = before.copy()
+        order = np.argsort(nth, kind="stable")
+        groups = np.split(order, np.flatnonzero(np.diff(nth[order])) + 1)
+        state[0, groups[0]] = 1.0
+        for k, now in enumerate(groups):
+            if k:
+                before[:, now] = state[:, now] = state[:, now - 1]
+            out = (state[:, None, now] * ways[:, :, now]).sum(0)
+            state[:, now] = out / out.sum(0)
+        for now in reversed(groups[1:]):
+            back = (ways[:, :, now] * after[None, :, now]).sum(1)
+            after[:, now - 1] = back / back.sum(0)
+    return marginals(padded, lengths, chain, before, after)[0].ravel()[place]
+
+
 def in_chains(values: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values of consecutive documents as padded chains of at most SEQUENCE tokens.
+    """Values of consecutive documents as padded strips of at most SEQUENCE tokens.
 
-    Returns the padded matrix, the chains' lengths, and each value's flat place in the matrix.
+    Returns the padded matrix, the strips' lengths, and each value's flat place in the matrix.
     """
     lengths = [
         np.diff(np.append(np.arange(0, size, SEQUENCE), size)) if size else np.empty(0, np.int64) for size in sizes
@@ -220,7 +285,7 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
         theta += RATE * 5 * gradient / np.sqrt(squares)
         chain += RATE * chain_gradient / np.sqrt(chain_squares)
     rows, end = [], np.cumsum(sizes)
-    found = toxic.ravel()[place]
+    found = document_marginals(emission, sizes, chain)
     for size, stop in zip(sizes, end):
         rows.append(document_features(found[stop - size : stop]))
     weights = {f: float(theta[i]) for i, f in enumerate(kept) if abs(theta[i]) > 0.01}
@@ -245,8 +310,7 @@ def score_batches(model: Model):
                         cache[word] = model.word_score(word)
                     sizes.append(len(words))
                     emissions.append(np.fromiter(map(cache.__getitem__, words), np.float64, len(words)))
-                padded, lengths, place = in_chains(np.concatenate(emissions), sizes)
-                toxic = marginals(padded, lengths, model.chain)[0].ravel()[place] if len(place) else np.empty(0)
+                toxic = document_marginals(np.concatenate(emissions), sizes, model.chain)
                 stops = np.cumsum(sizes)
                 for text, size, stop in zip(texts, sizes, stops):
                     own = toxic[stop - size : stop]
