@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import gzip
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -400,6 +402,26 @@ def test_shared_folder(spark):
     assert all(f"{session.shared_dir(spark)}/" in f for f in stored.inputFiles())
 
 
+def test_scratch_folders_of_threads_are_their_own(spark):
+    """One stage's end removes nothing of another's, and the threads a stage starts write to its folder."""
+    inside, ended = threading.Barrier(2), threading.Event()
+
+    def stage(first: bool) -> list[str]:
+        with session.scratch(spark) as folder:
+            inside.wait(60)
+            if not first:
+                ended.wait(60)
+            stored = session.side_by_side(lambda n: session.write_shared(spark.range(n), "t"), [1, 2])
+            assert all(f"{folder}/" in f for df in stored.values() for f in df.inputFiles())
+            counts = [df.count() for df in stored.values()]
+        ended.set()
+        return counts
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(stage, [True, False])) == [[1, 2], [1, 2]]
+    assert "scratch" not in session.new_path(spark, "t")
+
+
 class Settings:
     def __init__(self, **values):
         self.conf = self

@@ -7,16 +7,19 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
-SCRATCH_CONF = "tillstar.scratch.dir"
 AT_ONCE = 4  # tables built together, so that small ones do not wait in line
 
 T = TypeVar("T")
 
+# The folder of the present :func:`scratch`: of this thread and those that it starts here, not of the session.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 # What the jobs here rely on; they are set whatever spark-defaults say.  Master,
 # memory, shuffle partitions and jars are left to the caller and the cluster.
 SETTINGS = {
@@ -64,22 +67,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder (or the present :func:`scratch`) that no other call has been given."""
-    folder = spark.conf.get(SCRATCH_CONF, None) or f"{shared_dir(spark)}/tillstar"
+    folder = _scratch.get() or f"{shared_dir(spark)}/tillstar"
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """While it lasts, new paths lie in one folder, which is removed at its end."""
-    folder, before = new_path(spark, "scratch"), spark.conf.get(SCRATCH_CONF, None)
-    spark.conf.set(SCRATCH_CONF, folder)
+    folder = new_path(spark, "scratch")
+    before = _scratch.set(folder)
     try:
         yield folder
     finally:
-        if before is None:
-            spark.conf.unset(SCRATCH_CONF)
-        else:
-            spark.conf.set(SCRATCH_CONF, before)
+        _scratch.reset(before)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -104,4 +104,5 @@ def side_by_side(build: Callable[[str], T], names: Iterable[str]) -> dict[str, T
     """
     names = list(names)
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        return dict(zip(names, pool.map(build, names)))
+        made = [pool.submit(copy_context().run, build, name) for name in names]
+        return {name: one.result() for name, one in zip(names, made)}

@@ -161,33 +161,45 @@ def csv_corrupt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def column_total(df: DataFrame, column: str) -> Column:
-    """A whole number that every value of the column has a part in."""
+def plain_value(df: DataFrame, column: str) -> Column:
+    """A value as text or whole number, alike in every engine."""
     kind, value = df.schema[column].dataType.simpleString(), F.col(column)
     if kind == "string":
-        value = F.length(value)
-    elif kind == "date":
+        return value
+    if kind == "date":
         value = F.datediff(value, F.lit("1970-01-01"))
     elif kind == "timestamp":
         value = F.unix_timestamp(value)
     elif kind == "double":
         value = F.round(value * 100)
-    return F.coalesce(F.sum(value.cast("bigint")), F.lit(0))
+    return value.cast("bigint")
+
+
+def column_total(df: DataFrame, column: str) -> Column:
+    """A whole number that every value of the column has a part in."""
+    value = plain_value(df, column)
+    if df.schema[column].dataType.simpleString() == "string":
+        value = F.length(value).cast("bigint")
+    return F.coalesce(F.sum(value), F.lit(0))
+
+
+def checksum(df: DataFrame) -> Column:
+    """A sum of 32 bits of every row's hash: the same for the same rows in any order, and for no others."""
+    row = F.concat_ws("|", *(F.coalesce(plain_value(df, c).cast("string"), F.lit("-")) for c in df.columns))
+    return F.coalesce(F.sum(F.conv(F.left(F.md5(row), F.lit(8)), 16, 10).cast("bigint")), F.lit(0))
 
 
 def extract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per column of the twelve tables, read from CSV: present and distinct values, and their total."""
+    """The twelve tables read from CSV: present and distinct values and total per column, and a checksum of their rows."""
     counts = []
     for name, df in extract_all(spark, csv_folder(spark, sf_dir), multi_line=False).items():
-        ways = {
-            "present": lambda df, c: F.count(c),
-            "different": lambda df, c: F.count_distinct(c),
-            "total": column_total,
-        }
-        for way, of in ways.items():
-            one_row = df.agg(*(of(df, c).alias(c) for c in df.columns))
-            long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "column", "value")
-            counts.append(long.withColumns({"table_name": F.lit(name), "measure": F.lit(way)}))
+        one_scan = {f"present {c}": F.count(c) for c in df.columns} | {f"total {c}": column_total(df, c) for c in df.columns}
+        different = {f"different {c}": F.count_distinct(c) for c in df.columns}
+        for measures in (one_scan | {"checksum *": checksum(df)}, different):
+            one_row = df.agg(*(value.alias(label) for label, value in measures.items()))
+            long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "label", "value")
+            label = F.split("label", " ")
+            counts.append(long.select(label[1].alias("column"), "value", F.lit(name).alias("table_name"), label[0].alias("measure")))
     return reduce(DataFrame.unionByName, counts)
 
 
