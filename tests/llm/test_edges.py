@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -245,6 +246,30 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).collect() == []
 
 
+def test_records_have_the_fields_that_readers_ask_for(spark, tmp_path):
+    made = [
+        (1, "a", "http://a.b/c d"), (2, "a", "http://z/"), (3, "x" * 3000, None), (4, "b", " \t"), (None, "c", None),
+        (6, "d", "http://e/WARC/1.1"), (7, "e", "http://f/\r\nWARC-Type: response"),
+    ]
+    pages = spark.createDataFrame(made, "page_id long, html string, url string")
+    warc.write_archives(pages, str(tmp_path / "a"), segment_chars=1000, url="url")
+    records = [r.value for r in spark.read.option("lineSep", warc.VERSION).text(str(tmp_path / "a")).collect() if r.value]
+    fields = [warc.split_headers(r.encode())[0] for r in records]
+    for f in fields:
+        assert f["WARC-Type"] and f["WARC-Record-ID"].startswith("<urn:") and f["Content-Length"]
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["WARC-Date"])
+    uris = {f.get("WARC-Page-ID"): f["WARC-Target-URI"] for f in fields if f["WARC-Type"] != "continuation"}
+    assert uris == {
+        "1": "http://a.b/c%20d", "2": "http://z/", "3": "urn:page:3", "4": "urn:page:4", None: "urn:page:unknown",
+        "6": "http://e/WARC/1%2E1", "7": "http://f/%EF%BF%BD%EF%BF%BDWARC-Type:%20response",
+    }
+    (revisit,) = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert revisit["WARC-Refers-To-Target-URI"] == "http://z/" and revisit["WARC-Refers-To-Date"] == revisit["WARC-Date"]
+    assert {f["WARC-Target-URI"] for f in fields if f["WARC-Type"] == "continuation"} == {"urn:page:3"}
+    rows = warc.page_records(warc.read_archives(spark, str(tmp_path / "a"))).collect()
+    assert {(r.page_id, r.payload_bytes) for r in rows} == {(i, len(html)) for i, html, _ in made}
+
+
 def test_broken_archives_are_errors(spark, tmp_path):
     pages = spark.createDataFrame([(1, "x" * 5000)], "page_id long, html string")
     warc.write_archives(pages, str(tmp_path / "a"), segment_chars=1000)

@@ -57,7 +57,7 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), url="url")
 
 
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,17 @@ def digest_of(payload: Column) -> Column:
     return F.translate(F.concat(*parts), DIGITS, BASE32)
 
 
-def assign_types(pages: DataFrame, page_id: str, html: str, least_bytes: int = 0) -> DataFrame:
-    """Rows (id, payload, digest, revisit).
+def target_uri(page_id: Column, url: Column) -> Column:
+    """A record's URI: the url, blanks and control characters escaped, or a name made of the id."""
+    plain = F.regexp_replace(url, r"^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$", "")
+    plain = F.regexp_replace(F.replace(plain, F.lit(" "), F.lit("%20")), r"[\x00-\x1F\x7F]", "%EF%BF%BD")
+    plain = F.regexp_replace(plain, r"WARC/1\.1$", "WARC/1%2E1")  # archives are split at version lines
+    named = F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("unknown")))
+    return F.coalesce(F.nullif(plain, F.lit("")), named)
+
+
+def assign_types(pages: DataFrame, page_id: str, html: str, least_bytes: int = 0, url: str | None = None) -> DataFrame:
+    """Rows (id, payload, digest, revisit, uri, and of the record that a revisit refers to, target).
 
     Of records with equal payloads of at least ``least_bytes`` bytes the one with
     the largest id (NULL is smallest) is the response and the others revisit it;
@@ -39,13 +48,16 @@ def assign_types(pages: DataFrame, page_id: str, html: str, least_bytes: int = 0
     one row per task after the partial maximum, and the join back is one that
     adaptive execution splits.
     """
-    rows = pages.select(F.col(page_id).alias("__id"), F.coalesce(F.col(html), F.lit("")).alias("payload"))
+    uri = target_uri(F.col(page_id), F.col(url) if url else F.lit(None).cast("string"))
+    rows = pages.select(F.col(page_id).alias("__id"), F.coalesce(F.col(html), F.lit("")).alias("payload"), uri.alias("uri"))
     rows = rows.withColumn("digest", digest_of(F.col("payload"))).withColumn("bytes", F.octet_length("payload"))
     equal = rows.filter(F.col("bytes") >= least_bytes).groupBy("digest", "bytes")
-    chosen = equal.agg(F.max("__id").alias("chosen"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    chosen = equal.agg(
+        F.max("__id").alias("chosen"), F.max_by("uri", "__id").alias("target"), F.count("*").alias("n")
+    ).filter("n > 1").drop("n")
     later = F.col("chosen").isNotNull() & (F.col("__id").isNull() | (F.col("__id") < F.col("chosen")))
     return rows.join(chosen, ["digest", "bytes"], "left").select(
-        "__id", "payload", "digest", F.coalesce(later, F.lit(False)).alias("revisit")
+        "__id", "payload", "digest", F.coalesce(later, F.lit(False)).alias("revisit"), "uri", "target"
     )
 
 
@@ -73,8 +85,16 @@ def chunked(payload: Column) -> Column:
     return F.concat(F.array_join(framed, ""), F.lit("0\r\n\r\n"))
 
 
-def records(typed: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
-    """One text per WARC record: responses (cut into segments where long) and revisits."""
+def records(typed: DataFrame, segment_chars: int = SEGMENT_CHARS, date: Column | None = None) -> DataFrame:
+    """One text per WARC record: responses (cut into segments where long) and revisits.
+
+    All have the fields that the format asks for: type, record id, date (``date``,
+    by default the time of writing, in UTC), target URI and length; a revisit also
+    tells the URI and date of what it refers to.
+    """
+    if date is None:
+        date = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    date = F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     urn = lambda row: F.concat(F.lit("<urn:record:"), row.cast("string"), F.lit(">"))
     http = F.when(
         ~F.col("revisit"),
@@ -89,7 +109,7 @@ def records(typed: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
         lambda i: F.substring(F.col("http"), i * segment_chars + 1, F.lit(segment_chars)),
     )
     cut = typed.select(
-        ROW, "__id", "digest", "revisit", F.octet_length("http").alias("total"),
+        ROW, "__id", "digest", "revisit", "uri", "target", F.octet_length("http").alias("total"),
         F.size(parts).alias("segments"), F.posexplode(parts).alias("place", "block"),
     )
     first, several = F.col("place") == 0, F.col("segments") > 1
@@ -103,9 +123,19 @@ def records(typed: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
         F.lit(VERSION),
         line("WARC-Type", kind),
         line("WARC-Record-ID", own),
+        line("WARC-Date", date),
+        line("WARC-Target-URI", F.col("uri")),
+        F.when(first, F.lit("Content-Type: application/http; msgtype=response\r\n")).otherwise(""),
         F.when(first & F.col("__id").isNotNull(), line("WARC-Page-ID", F.col("__id").cast("string"))).otherwise(""),
         F.when(first, line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))).otherwise(""),
-        F.when(first & F.col("revisit"), F.lit(f"WARC-Profile: {PROFILE}\r\n")).otherwise(""),
+        F.when(
+            first & F.col("revisit"),
+            F.concat(
+                F.lit(f"WARC-Profile: {PROFILE}\r\n"),
+                line("WARC-Refers-To-Target-URI", F.coalesce("target", "uri")),
+                line("WARC-Refers-To-Date", date),
+            ),
+        ).otherwise(""),
         F.when(several, line("WARC-Segment-Number", (F.col("place") + 1).cast("string"))).otherwise(""),
         F.when(~first, line("WARC-Segment-Origin-ID", urn(F.col(ROW)))).otherwise(""),
         F.when(several & last, line("WARC-Segment-Total-Length", F.col("total").cast("string"))).otherwise(""),
@@ -117,16 +147,17 @@ def records(typed: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
 
 def write_archives(
     pages: DataFrame, path: str, page_id: str = "page_id", html: str = "html", least_bytes: int = 0,
-    segment_chars: int = SEGMENT_CHARS,
+    segment_chars: int = SEGMENT_CHARS, url: str | None = None,
 ) -> None:
     """Write a record per page into gzipped archives under ``path``.
 
     Every file is a sequence of WARC records, each ended by two line ends.
     Spark's own text writer commits them, so tasks may be lost and run again and
     the folder may be in any store.  A NULL html is an empty payload, a NULL id
-    is left out of its record, repeated rows get records of their own.
+    is left out of its record, repeated rows get records of their own.  A record
+    without a url gets a name made of its id as its URI.
     """
-    made = records(assign_types(pages, page_id, html, least_bytes), segment_chars)
+    made = records(assign_types(pages, page_id, html, least_bytes, url), segment_chars)
     made.write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
 
 
@@ -264,10 +295,10 @@ def page_records(decoded: DataFrame) -> DataFrame:
 
 def round_trip(
     pages: DataFrame, page_id: str = "page_id", html: str = "html", least_bytes: int = 0,
-    segment_chars: int = SEGMENT_CHARS,
+    segment_chars: int = SEGMENT_CHARS, url: str | None = None,
 ) -> DataFrame:
     """Write the pages to archives in the shared folder, read them back, return :func:`page_records`."""
     spark = pages.sparkSession
     path = new_path(spark, "warc")
-    write_archives(pages, path, page_id, html, least_bytes, segment_chars)
+    write_archives(pages, path, page_id, html, least_bytes, segment_chars, url)
     return page_records(read_archives(spark, path))
