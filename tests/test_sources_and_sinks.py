@@ -362,7 +362,7 @@ def test_a_broken_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     class Broken(Exception):
         pass
 
-    def fail(*_):
+    def fail(*_, **__):
         raise Broken
 
     with monkeypatch.context() as patch:
