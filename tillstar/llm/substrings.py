@@ -168,8 +168,8 @@ def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Every run of the texts; ``later`` marks those that an earlier place of this task also holds.
 
     Of equal runs met in a task only the first place may be the first of all, so
-    a run in very many texts leaves a row per task to compare.  The places known
-    are bounded: beyond ``KNOWN_RUNS`` they are given out as they are.
+    a run in very many texts leaves few rows to compare.  The places known are
+    bounded: beyond ``KNOWN_RUNS`` they are given out as they are.
     """
     known: dict[int, tuple[int, int, int]] = {}
 
@@ -240,8 +240,8 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     Of equal runs the one in the smallest doc_id (rows without one come last),
     then at the earliest place, is the first.  Runs that a task has met before
-    are settled there; the others are shuffled once, by run, and a run found in a
-    third of all texts is one row per task by then.
+    are settled there, as long as it remembers them; the others are shuffled once,
+    by run, and a common run is one row per ``KNOWN_RUNS`` places by then.
     """
     named = keyed(docs, doc_id, text).select("__key", "__mark", "__text")
     runs = write_shared(named.mapInPandas(run_batches, RUNS), "runs")
