@@ -87,6 +87,25 @@ def test_bad_records_are_errors_or_kept(spark, tmp_path):
         assert "extra" in long._bad_record
 
 
+def test_the_test_for_bad_records_computes_no_value_again(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text("id,amount\n12.0,1.5\n,\n")
+    rows = read_csv(spark, str(file), "id BIGINT, amount DOUBLE", multi_line=False)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("try_cast") == 3, text  # id as it is and without .0, amount
+    assert [tuple(r) for r in rows.collect()] == [(12, 1.5), (None, None)]
+
+
+def test_extract_all_parses_once_and_tells_nulls_and_empty_tables(spark, monkeypatch):
+    text = registered.extract_tables(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in text
+    df = spark.createDataFrame([(1, None, 0.0, True), (1, "a", -0.0, False), (None, "a", 1.5, None)], "a int, b string, c double, d boolean")
+    told = {k: v for one in registered.different_values(df) for k, v in one.first().asDict().items()}
+    assert told == {"different a": 1, "different b": 1, "different c": 2, "different d": 2}
+    told = {k: v for one in registered.different_values(df.limit(0)) for k, v in one.first().asDict().items()}
+    assert set(told.values()) == {0} and len(told) == 4
+
+
 def test_a_run_counts_bad_records(spark, tmp_path):
     tables = {name: spark.createDataFrame([], schema) for name, schema in SCHEMAS.items()}
     names = [column.split()[0] for column in SCHEMAS["promotions"].split(",")]

@@ -259,12 +259,14 @@ def read_csv(
     bad = [(F.trim(F.col(f"`{n}`")) != "") & F.col(f"`_value of {n}`").isNull() for n in typed]
     unread = [F.when(test, F.concat(F.lit(f"{n}="), F.col(f"`{n}`"))) for n, test in zip(typed, bad)]
     told = F.when(reduce(or_, bad), F.concat_ws("; ", *unread)) if typed else F.lit(None).cast("string")
-    rows = valued.select(
+    columns = [
         *(F.col(f"`_value of {n}`").alias(n) if n in typed else F.col(f"`{n}`") for n in header),
         F.coalesce(F.col(BAD_RECORD), told).alias(BAD_RECORD),
-    )
+    ]
     if keep_bad:
-        return rows
+        return valued.select(*columns)
+    # The test reads what is computed here: pushed below a plain projection it would compute all values again.
+    rows = valued.select(F.inline(F.array(F.struct(*columns))))
     bad = F.raise_error(F.concat(F.lit(f"bad record in {path}: "), F.col(BAD_RECORD))).cast("boolean")
     return rows.filter(F.when(F.col(BAD_RECORD).isNull(), True).otherwise(bad)).drop(BAD_RECORD)
 

@@ -183,20 +183,48 @@ def column_total(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
-def checksum(df: DataFrame) -> Column:
+def checksum(values: list[Column]) -> Column:
     """A sum of 32 bits of every row's hash: the same for the same rows in any order, and for no others."""
-    row = F.concat_ws("|", *(F.coalesce(plain_value(df, c).cast("string"), F.lit("-")) for c in df.columns))
+    row = F.concat_ws("|", *(F.coalesce(value.cast("string"), F.lit("-")) for value in values))
     return F.coalesce(F.sum(F.conv(F.left(F.md5(row), F.lit(8)), 16, 10).cast("bigint")), F.lit(0))
 
 
+def one_scan(df: DataFrame) -> DataFrame:
+    """Present values and total of every column, and the checksum, as one row; plain values are made once for both."""
+    plain = {c: f"plain {c}" for c in df.columns}
+    valued = df.select("*", *(plain_value(df, c).alias(label) for c, label in plain.items()))
+    measures = {f"present {c}": F.count(c) for c in df.columns}
+    for c, label in plain.items():
+        measures[f"total {c}"] = column_total(valued, label)
+    measures["checksum *"] = checksum([F.col(f"`{label}`") for label in plain.values()])
+    return valued.agg(*(value.alias(label) for label, value in measures.items()))
+
+
+def different_values(df: DataFrame) -> list[DataFrame]:
+    """Different values of every column, counted for all columns of a kind at once, as one row a kind.
+
+    A value goes through the shuffle with the number of its column alone, not
+    beside a NULL for every other column.
+    """
+    kinds: dict[str, list[str]] = {}
+    for field in df.schema.fields:
+        kind = field.dataType.simpleString()
+        kinds.setdefault("bigint" if kind in ("int", "boolean") else kind, []).append(field.name)
+    counted = []
+    for kind, columns in kinds.items():
+        values = df.select(*(F.col(c).cast(kind).alias(f"{i}") for i, c in enumerate(columns)))
+        different = values.unpivot([], values.columns, "of", "value").filter("value IS NOT NULL").distinct()
+        counted.append(different.agg(*(F.count_if(F.col("of") == f"{i}").alias(f"different {c}") for i, c in enumerate(columns))))
+    return counted
+
+
 def extract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve tables read from CSV: present and distinct values and total per column, and a checksum of their rows."""
+    read = extract_all(spark, csv_folder(spark, sf_dir), multi_line=False)
+    stored = side_by_side(lambda name: write_shared(read[name], f"read-{name}"), read)  # parsed once
     counts = []
-    for name, df in extract_all(spark, csv_folder(spark, sf_dir), multi_line=False).items():
-        one_scan = {f"present {c}": F.count(c) for c in df.columns} | {f"total {c}": column_total(df, c) for c in df.columns}
-        different = {f"different {c}": F.count_distinct(c) for c in df.columns}
-        for measures in (one_scan | {"checksum *": checksum(df)}, different):
-            one_row = df.agg(*(value.alias(label) for label, value in measures.items()))
+    for name, df in stored.items():
+        for one_row in (one_scan(df), *different_values(df)):
             long = one_row.unpivot([], [F.col(f"`{c}`") for c in one_row.columns], "label", "value")
             label = F.split("label", " ")
             counts.append(long.select(label[1].alias("column"), "value", F.lit(name).alias("table_name"), label[0].alias("measure")))
