@@ -106,6 +106,19 @@ def test_extract_all_parses_once_and_tells_nulls_and_empty_tables(spark, monkeyp
     assert set(told.values()) == {0} and len(told) == 4
 
 
+def test_a_run_parses_every_file_once(spark, tmp_path, monkeypatch):
+    scans = []
+    plain = parquet.write_parquet
+
+    def write_parquet(df, path, *args, **also):
+        scans.append(df._jdf.queryExecution().optimizedPlan().toString().count(" csv"))
+        return plain(df, path, *args, **also)
+
+    monkeypatch.setattr(parquet, "write_parquet", write_parquet)
+    run_pipeline(spark, registered.csv_folder(spark, SF), str(tmp_path / "run"), registered.AS_OF)
+    assert sum(scans) == len(TABLES) and max(scans) == 1
+
+
 def test_a_run_counts_bad_records(spark, tmp_path):
     tables = {name: spark.createDataFrame([], schema) for name, schema in SCHEMAS.items()}
     names = [column.split()[0] for column in SCHEMAS["promotions"].split(",")]

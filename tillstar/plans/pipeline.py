@@ -13,7 +13,7 @@ from tillstar.operators.rules import transform
 from tillstar.plans.progress import Progress, files_version, fingerprint, layout_parts, rules_parts
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact
 from tillstar.plans.tables import TABLES
-from tillstar.session import scratch, side_by_side
+from tillstar.session import new_path, scratch, side_by_side
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
 from tillstar.sources.csv import BAD_RECORD, file_inventory, read_csv
@@ -44,7 +44,8 @@ def run_pipeline(
     they hold, and the facts that need order keys read two columns of the
     written order fact.  Row and flag counts come out of the writes.
 
-    CSV files are read in splits, without line breaks in fields; with
+    CSV files are parsed once each, into Parquet that goes when the wide table is
+    written.  They are read in splits, without line breaks in fields; with
     ``by_quotes`` fields may hold some.  With ``skip_corrupt`` broken files are
     left out, and the run tells how many and which (``files_left_out``,
     ``files_in_part``, and a metric of 1 with the name of each).  More than
@@ -89,20 +90,20 @@ def run_pipeline(
         told = files_version(spark, made_from) if made_from else version
 
         def build() -> tuple[dict[str, int], DataFrame]:
-            seen = Observation()
-            if made_from:
-                how = {"multi_line": False, "keep_bad": True, "by_quotes": by_quotes, "skip_corrupt": skip_corrupt}
-                rows = read_csv(spark, made_from, SCHEMAS[name], **how)
-            else:
-                rows = source[name]
-            bad = F.lit(0).cast("bigint")
-            if BAD_RECORD in rows.columns:
-                bad = F.count(BAD_RECORD)
-            counted = [F.count(F.lit(1)).alias("rows_initial"), bad.alias("bad_records")]
-            df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
-            counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
-            # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
-            before = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
+            with scratch(spark):  # the rows as read, and what repeats in them, go once the table is written
+                if made_from:
+                    before, rows = parsed(name, made_from)
+                    df = transform(rows, rules, as_of)
+                    counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+                else:
+                    seen, rows = Observation(), source[name]
+                    counted = [F.count(F.lit(1)).alias("rows_initial"), F.lit(0).cast("bigint").alias("bad_records")]
+                    if BAD_RECORD in rows.columns:
+                        counted[1] = F.count(BAD_RECORD).alias("bad_records")
+                    df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
+                    counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+                    # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
+                    before = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
             counts |= row_counts(before, counts["rows"])
             if made_from and skip_corrupt:
                 counts |= left_out(made_from)
@@ -110,6 +111,15 @@ def run_pipeline(
 
         return keep(name, [told, rules_parts(rules, as_of), by_quotes, skip_corrupt], path, wide, build)
 
+    def parsed(name: str, path: str) -> tuple[dict[str, int], DataFrame]:
+        """A table's CSV as Parquet, and its rows and bad records: cleaning and flags read the rows several times."""
+        how = {"multi_line": False, "keep_bad": True, "by_quotes": by_quotes, "skip_corrupt": skip_corrupt}
+        rows = read_csv(spark, path, SCHEMAS[name], **how)
+        held = new_path(spark, f"read-{name}")
+        seen = parquet.write_parquet(rows, held, observe=[F.count(BAD_RECORD).alias("bad_records")])
+        stored = spark.read.schema(rows.schema).parquet(held).drop(BAD_RECORD)
+        return {"rows_initial": seen["rows"], "bad_records": seen["bad_records"]}, stored
+
     def row_counts(seen: dict[str, int], rows: int) -> dict[str, int]:
         if seen["bad_records"] > bad_records:
             raise ValueError(f"{seen['bad_records']} bad records, {bad_records} are allowed")
