@@ -6,6 +6,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -43,8 +44,14 @@ def word_starts(text: str) -> np.ndarray:
     return np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
 
 
-def checksums(words: list[str]) -> np.ndarray:
-    return np.fromiter((crc32(word.encode("utf-8", "surrogatepass")) for word in words), np.uint32, len(words))
+def lower_words(text: str) -> tuple[bytes, list[bytes]]:
+    """The words in lower case, in UTF-8: joined by single spaces, and one by one."""
+    joined = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
+    return joined, joined.split(b" ") if joined else []
+
+
+def checksums(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
 def sentence_starts(text: str, at: np.ndarray | None = None, sums: np.ndarray | None = None) -> list[int]:
@@ -57,25 +64,16 @@ def sentence_starts(text: str, at: np.ndarray | None = None, sums: np.ndarray |
     ``sums`` are the starts and checksums of the text's words, if they are known.
     """
     if at is None:
-        at, sums = word_starts(text), checksums(text.lower().split())
-    cut_behind = sums % CUT_ONE_IN == 0
-    starts, fresh = [], 0
-    for found in SENTENCE.finditer(text):
-        end = found.end()
-        if end == found.start():
-            continue
-        last = text[end - 1]
-        if end < len(text) and last in ".!?":  # the mark is inside a word, as in 1.5
-            continue
-        starts.append(fresh)
-        if end - fresh > LONG_SENTENCE:
-            low, high = at.searchsorted((fresh, end))
-            if high - low > 1:  # a cut is where the next word of the sentence starts
-                starts += at[low + 1 : high][cut_behind[low : high - 1]].tolist()
-        fresh = end
-    if fresh < len(text):
-        starts.append(fresh)
-    return [*starts, len(text)]
+        at, sums = word_starts(text), checksums(lower_words(text)[1])
+    ends = [found.end() for found in SENTENCE.finditer(text)]
+    # A mark with no white space behind it is inside a word, as in 1.5.
+    ends = [end for end in ends if end and (end == len(text) or text[end - 1] not in ".!?")]
+    borders = np.unique(np.array([0, *ends], np.int64))
+    sentence = borders.searchsorted(at, "right") - 1
+    # A cut is where the next word of a long sentence starts.
+    cut = (sums[:-1] % CUT_ONE_IN == 0) & (sentence[1:] == sentence[:-1])
+    cut &= (np.diff(borders, append=0) > LONG_SENTENCE)[sentence[1:]]
+    return np.sort(np.concatenate((borders, at[1:][cut]))).tolist()
 
 
 def gram_places(sums: np.ndarray) -> list[int]:
@@ -88,14 +86,31 @@ def gram_places(sums: np.ndarray) -> list[int]:
         return []
     own = (sums.astype(np.uint64) + np.uint64(1)) * np.uint64(FACTOR)
     own ^= own >> np.uint64(29)
-    value = np.zeros(count, np.uint64)
-    for j in range(GRAM):
-        value = value * np.uint64(FACTOR) + own[j : j + count]
+    value = run_sums(own)
     value ^= value >> np.uint64(32)
     value *= np.uint64(0xBF58476D1CE4E5B9)
     value ^= value >> np.uint64(29)
-    windows = np.lib.stride_tricks.sliding_window_view(value, GRAM_WINDOW)[:, ::-1]
-    return np.unique(np.arange(len(windows)) + GRAM_WINDOW - 1 - windows.argmin(1)).tolist()
+    least = value  # of 2, 4, 8 and 16 neighbours, then of GRAM_WINDOW
+    for step in (1, 2, 4, 8, GRAM_WINDOW - 16):
+        least = np.minimum(least[:-step], least[step:])
+    # Elsewhere a window has the least hash of the window before it, at the same place.
+    fresh = value[GRAM_WINDOW - 1 :] == least
+    fresh[0] = True
+    fresh[1:] |= least[1:] != least[:-1]
+    at = np.flatnonzero(fresh)
+    windows = np.lib.stride_tricks.sliding_window_view(value, GRAM_WINDOW)[at, ::-1]
+    return (at + GRAM_WINDOW - 1 - windows.argmin(1)).tolist()
+
+
+def run_sums(own: np.ndarray) -> np.ndarray:
+    """Each ``GRAM`` (16 + 8 + 2) neighbouring values, read as digits of a number to the base ``FACTOR``, modulo 2^64."""
+    power = [np.uint64(pow(FACTOR, k, 1 << 64)) for k in range(11)]
+    two = own[:-1] * power[1] + own[1:]
+    four = two[:-2] * power[2] + two[2:]
+    eight = four[:-4] * power[4] + four[4:]
+    sixteen = eight[:-8] * power[8] + eight[8:]
+    count = len(own) - GRAM + 1
+    return sixteen[:count] * power[10] + eight[16 : 16 + count] * power[2] + two[24 : 24 + count]
 
 
 def removed_stretches(text: str, starts: list[int], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -122,8 +137,8 @@ def removed_stretches(text: str, starts: list[int], spans: list[tuple[int, int]]
     return out
 
 
-def _digest(words: list[str], mark: str = "") -> bytes:
-    return hashlib.blake2b((mark + " ".join(words)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+def _digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=8).digest()
 
 
 def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,31 +152,26 @@ def runs_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     empty = np.empty(0, np.int32)
     if not text:
         return empty, empty, np.empty(0, np.int64)
-    words, at = text.lower().split(), word_starts(text)
+    (joined, words), at = lower_words(text), word_starts(text)
     sums = checksums(words)
-    starts = sentence_starts(text, at, sums)
-    of_piece = at.searchsorted(starts).tolist()  # each piece's first word; white space alone is no piece
-    full = [i for i in range(len(starts) - 1) if of_piece[i + 1] > of_piece[i]]
-    from_word = [of_piece[i] for i in full] + [len(words)]
-    firsts, ends, hashes = [], [], []
-    end = 0
-    for k, first in enumerate(from_word[:-1]):
-        end = max(end, k)
-        while end < len(full) and (end - k < RUN or from_word[end] - first < LEAST_WORDS):
-            end += 1
-        if end - k < RUN or from_word[end] - first < LEAST_WORDS:
-            break
-        firsts.append(starts[full[k]])
-        ends.append(starts[full[end - 1] + 1])
-        hashes.append(_digest(words[first : from_word[end]]))
+    starts = np.array(sentence_starts(text, at, sums))
+    of_piece = at.searchsorted(starts)  # each piece's first word; white space alone is no piece
+    full = np.flatnonzero(np.diff(of_piece))
+    from_word = np.append(of_piece[full], len(words))
+    # The piece behind each run; near the end of the text there is none.
+    behind = np.maximum(np.arange(RUN, len(full) + RUN), from_word.searchsorted(from_word[:-1] + LEAST_WORDS))
+    behind = behind[: behind.searchsorted(len(full), "right")]
     places = gram_places(sums)
-    if places:
-        places_at = [*at.tolist(), len(text)]
-        for k in places:
-            firsts.append(places_at[k])
-            ends.append(places_at[k + GRAM])
-            hashes.append(_digest(words[k : k + GRAM], "\0"))
-    return np.array(firsts, np.int32), np.array(ends, np.int32), np.frombuffer(b"".join(hashes), np.int64)
+    first = np.concatenate((from_word[: len(behind)], places)).astype(np.int64)
+    last = np.concatenate((from_word[behind], np.add(places, GRAM))).astype(np.int64)
+    ends = np.concatenate((starts[full[behind - 1] + 1], np.append(at, len(text))[last[len(behind) :]]))
+    firsts = np.concatenate((starts[full[: len(behind)]], at[first[len(behind) :]]))
+    # Words lie in ``joined`` from here, a space behind each.
+    byte = np.concatenate(([0], np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1, [len(joined) + 1]))
+    low, high = byte[first].tolist(), (byte[last] - 1).tolist()
+    hashes = [_digest(joined[a:b]) for a, b in zip(low[: len(behind)], high)]
+    hashes += [_digest(b"\0" + joined[a:b]) for a, b in zip(low[len(behind) :], high[len(behind) :])]
+    return firsts.astype(np.int32), ends.astype(np.int32), np.frombuffer(b"".join(hashes), np.int64)
 
 
 def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,7 +184,8 @@ def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[int, tuple[int, int, int]] = {}
 
     def frame(rows: list[tuple], later: bool) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["run", "key", "at", "end"], dtype="int64")
+        values = np.fromiter(chain.from_iterable(rows), np.int64, 4 * len(rows)).reshape(-1, 4)
+        out = pd.DataFrame(values, columns=["run", "key", "at", "end"])
         out["later"] = later
         return out
 
@@ -188,8 +199,9 @@ def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             some, later = batch.iloc[begin : begin + 500], []
             for key, mark, text in zip(some["__key"].tolist(), some["__mark"].tolist(), some["__text"]):
                 firsts, ends, runs = runs_of(text)
-                for first, end, run in zip(firsts.tolist(), ends.tolist(), runs.tolist()):
-                    place = (key, (first << 32) | mark, end)
+                at = (firsts.astype(np.int64) << 32) | mark
+                for first, end, run in zip(at.tolist(), ends.tolist(), runs.tolist()):
+                    place = (key, first, end)
                     other = known.get(run)
                     if other is None or place == other:
                         known[run] = place
