@@ -7,8 +7,12 @@ import random
 import sys
 
 import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
 
 from tillstar.llm import substrings
+from tillstar.llm.encode import ByteEncoder, WordEncoder
 
 
 def events(work) -> int:
@@ -82,3 +86,25 @@ def test_gram_places_are_the_last_least_ones_of_every_window():
 def test_runs_take_few_calls_a_word():
     text = sentences(8000, 1)
     assert events(lambda: substrings.runs_of(text)) < 2.5 * 8000
+
+
+@pytest.mark.parametrize("kind, name", [(WordEncoder, "word_bpe_49k.json"), (ByteEncoder, "byte_bpe_50k.json")])
+def test_stretches_of_words_not_met_before_take_no_room(kind, name):
+    encode, space = kind(public_tokenizers.path(name)), "" if kind is WordEncoder else " "
+    first = encode("on zorbling, flammet.")
+    assert set(encode.pieces) == {"on", f"{space}zorbling", f"{space}flammet", ",", "."}
+    assert encode("on zorbling, flammet.") == first  # met again: kept as they stand
+    assert {f"{space}zorbling,", f"{space}flammet."} <= set(encode.pieces)
+
+
+@pytest.mark.parametrize("kind, name", [(WordEncoder, "word_bpe_49k.json"), (ByteEncoder, "byte_bpe_50k.json")])
+def test_ids_of_odd_stretches_are_those_of_the_plain_call(kind, name, monkeypatch):
+    path = public_tokenizers.path(name)
+    encode, whole = kind(path), Tokenizer.from_file(path)
+    monkeypatch.setattr("tillstar.llm.encode.KEPT_PIECES", 50)  # generations change all the time
+    texts = ["\x01<|ENDOFTEXT|> A", "<|ENDOFTEXT|>", "a\x01", "A, b. C5 5c é, É. ñ' it's we'll x'", "e\u0301. \u0130, ß."]
+    draw = random.Random(5)
+    texts += ["".join(draw.choice("aAbéÉß ,.'s12\n-\u0130\u0301\x01 ") for _ in range(draw.randint(0, 40))) for _ in range(2000)]
+    for text in texts * 2:
+        ids = np.array(whole.encode(text, add_special_tokens=False).ids, "<u2")
+        assert encode(text) == ids.tobytes(), text

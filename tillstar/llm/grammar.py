@@ -19,6 +19,7 @@ ROUNDS = 8
 PAIRS_A_ROUND = 2048
 LEAST_COUNT = 16  # occurrences for which a rule is worth its place
 BUCKET_BITS = 20
+BLOCK = 1 << 16
 SYMBOLS = 65_536  # symbols are stored in 16 bits; ids and rules share them
 
 SHARD = (
@@ -27,26 +28,34 @@ SHARD = (
 )
 
 
-def frequent_pairs(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each key among the chosen pairs (-1: none), and the chosen pairs' keys.
+def frequent_pairs(sequence: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places where a chosen pair starts, which one it is, and the chosen pairs' keys (left and right symbol).
 
-    Keys are counted in hash buckets; a chosen bucket stands for one of its pairs,
-    which in a full bucket is nearly always the frequent one.
+    Pairs are counted in hash buckets; a chosen bucket stands for one of its pairs,
+    which in a full bucket is nearly always the frequent one.  ``bucket`` is room
+    for a number per pair; blocks of the sequence stay in the processor's cache.
     """
-    bucket = ((keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
+    bucket = bucket[: len(sequence) - 1]
+    blocks = [slice(at, min(at + BLOCK, len(bucket))) for at in range(0, len(bucket), BLOCK)]
+    for block in blocks:
+        key = sequence[block] << np.uint32(16)
+        key |= sequence[block.start + 1 : block.stop + 1]
+        key *= np.uint32(0x9E3779B1)
+        key >>= np.uint32(32 - BUCKET_BITS)
+        bucket[block] = key
     counts = np.bincount(bucket, minlength=1 << BUCKET_BITS)
     chosen = np.flatnonzero(counts >= LEAST_COUNT)
     if len(chosen) > most:
         chosen = chosen[np.argpartition(counts[chosen], -most)[-most:]]
-    rank = np.full(1 << BUCKET_BITS, -1, np.int32)
-    rank[chosen] = np.arange(len(chosen))
-    at = rank[bucket]
-    held = np.flatnonzero(at >= 0)
+    wanted, rank = np.zeros(1 << BUCKET_BITS, bool), np.zeros(1 << BUCKET_BITS, np.int16)
+    wanted[chosen], rank[chosen] = True, np.arange(len(chosen))
     pairs = np.zeros(len(chosen), np.uint32)
-    pairs[at[held]] = keys[held]
-    other = held[pairs[at[held]] != keys[held]]
-    at[other] = -1
-    return at, pairs
+    held = np.concatenate([np.flatnonzero(wanted[bucket[block]]) + block.start for block in blocks])
+    kind = rank[bucket[held]]
+    key = (sequence[held] << np.uint32(16)) | sequence[held + 1]
+    pairs[kind] = key
+    same = np.flatnonzero(pairs[kind] == key)
+    return held[same], kind[same], pairs
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,37 +68,38 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     ids that each rule stands for.  Symbols from ``base`` on are rules.
     """
     sequence, rules, lengths = ids.astype(np.uint32), [], []
-    size = np.ones(base, np.int64)
+    size, bucket = np.ones(base, np.int64), np.empty(len(ids), np.int64)
     for _ in range(ROUNDS):
         room = min(PAIRS_A_ROUND, SYMBOLS - base - len(lengths))
         if room <= 0 or len(sequence) < 2:
             break
-        keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
-        at, pairs = frequent_pairs(keys, room)
-        at[ends[:-1]] = -1
-        starts = np.flatnonzero(at >= 0)
+        starts, kind, pairs = frequent_pairs(sequence, bucket, room)
+        inside = np.flatnonzero(~ends[starts])
+        starts, kind = starts[inside], kind[inside]
         if len(starts):
             fresh = np.diff(starts, prepend=-2) != 1
             run = np.maximum.accumulate(np.where(fresh, np.arange(len(starts)), 0))
-            starts = starts[(np.arange(len(starts)) - run) % 2 == 0]
-        kind = at[starts]
+            second = np.flatnonzero((np.arange(len(starts)) - run) & 1 == 0)
+            starts, kind = starts[second], kind[second]
         used = np.bincount(kind, minlength=len(pairs))
         worth = np.flatnonzero(used >= LEAST_COUNT)
         if not len(worth):
             break
         number = np.full(len(pairs), -1, np.int64)
         number[worth] = base + len(lengths) + np.arange(len(worth))
-        keep = number[kind] >= 0
-        starts, kind = starts[keep], kind[keep]
+        symbol = number[kind]
+        keep = np.flatnonzero(symbol >= 0)
+        starts, symbol = starts[keep], symbol[keep]
         made = np.stack([pairs[worth] >> np.uint32(16), pairs[worth] & np.uint32(0xFFFF)], 1)
         made_size = size[made[:, 0]] + size[made[:, 1]]
         rules.append(made)
         lengths += made_size.tolist()
         size = np.append(size, made_size)
-        sequence[starts] = number[kind]
+        sequence[starts] = symbol
         ends[starts] = ends[starts + 1]
         left = np.ones(len(sequence), bool)
         left[starts + 1] = False
+        left = np.flatnonzero(left)
         sequence, ends = sequence[left], ends[left]
     made = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     return sequence, ends, made, np.array(lengths, np.int64)
