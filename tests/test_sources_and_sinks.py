@@ -475,3 +475,15 @@ def test_a_cluster_must_name_its_shared_folder():
         registered.database(Settings(**{"spark.master": "yarn"}))
     local = Settings(**{"spark.master": "local[2]"})
     assert session.shared_dir(local) == session.shared_dir(local)
+
+
+def test_a_database_named_by_its_url_alone_is_opened_by_its_own_driver(spark):
+    elsewhere = Settings(**{"spark.master": "yarn", "tillstar.jdbc.url": "jdbc:postgresql://host/db"})
+    assert registered.database(elsewhere).properties == {}
+    named = Settings(**elsewhere.values, **{"tillstar.jdbc.driver": "org.postgresql.Driver"})
+    assert registered.database(named).properties == {"driver": "org.postgresql.Driver"}
+    url = "jdbc:derby:memory:byurl;create=true"
+    by_url = registered.database(Settings(**{"spark.master": "yarn", "tillstar.jdbc.url": url}))
+    assert jdbc.write_table(spark.range(7), by_url, "c1") == 7
+    assert jdbc.write_table(spark.range(6), by_url, "c1") == 6
+    assert jdbc.read_table(spark, by_url, "c1", spread_by="id").count() == 6
