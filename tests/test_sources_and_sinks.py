@@ -6,7 +6,9 @@ import datetime as dt
 import gzip
 import random
 import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +165,48 @@ def test_a_run_leaves_nothing_in_the_shared_folder(spark, tmp_path):
     assert set(folder.glob("*")) <= before
 
 
+def test_a_run_frees_its_disk_as_it_goes(spark, tmp_path, monkeypatch):
+    """Keys of finished tables and used CSV files are gone when facts are written, shuffle files at the end."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in map(str, disk.getAllFiles().mkString("\n").split("\n")) if "shuffle_" in f}
+    folder, before, seen = registered.csv_folder(spark, SF), shuffles(), []
+    shared = Path(folder).parent
+    there = set(shared.iterdir())
+    write = parquet.load_fact
+
+    def looked(df, root, name, *how):
+        if name.startswith("fact_"):
+            new = [f for f in shared.iterdir() if f not in there and f.name.startswith("scratch")]
+            held = {part.name.rsplit("-", 1)[0] for f in new for part in f.iterdir()}
+            seen.append((name, list(Path(folder).iterdir()), {h for h in held if h.endswith("_key")}))
+        return write(df, root, name, *how)
+
+    monkeypatch.setattr(pipeline.parquet, "load_fact", looked)
+    # Large tables wait for each other, so each fact meets only its own rows.
+    monkeypatch.setattr(pipeline, "LARGE_BYTES", 0)
+    dates = registered.calendar(spark, SF)
+    run_pipeline(spark, folder, str(tmp_path / "run"), registered.AS_OF, dates, use_up=True)
+    assert {name for name, *_ in seen} == set(FACTS)
+    for name, csv, keys in seen:
+        assert csv == [] and keys == {FACTS[name].key}
+    for _ in range(100):  # files are removed in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP_CONF) == "false"
+
+
+def test_the_runs_queries_keep_no_csv(spark):
+    """Their CSV files hold all rows, compressed and of bounded length, and go with the run."""
+    folder = Path(registered.csv_folder(spark, SF))
+    assert {f.suffix for f in folder.glob("*/part-*")} == {".snappy"}
+    shared = folder.parent
+    before = set(shared.iterdir())
+    registered.whole_run(spark, SF)
+    assert [f.name[:4] for f in set(shared.iterdir()) - before] == ["run-"]
+
+
 def test_csv_may_be_split(spark, tmp_path):
     file = tmp_path / "t.csv"
     file.write_text("id\n" + "\n".join(map(str, range(1000))) + "\n")

@@ -13,6 +13,7 @@ from tillstar.session import write_shared
 
 BROADCAST_BYTES = 64 << 20
 SMALL_BYTES = 64 << 20  # of a table that one plan handles faster than a pass that looks at it first
+LARGE_BYTES = 512 << 20  # of a table, as its files hold it, that has a cluster to itself
 VALUE_BYTES = 16  # counted per value, besides the text it holds
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import AbstractContextManager, nullcontext
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,11 @@ from pyspark.sql import functions as F
 from tillstar.functions import AsOf
 from tillstar.operators.quality import flag_counts
 from tillstar.operators.rules import transform
+from tillstar.operators.sizes import LARGE_BYTES, estimated_bytes
 from tillstar.plans.progress import Progress, files_version, fingerprint, layout_parts, rules_parts
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact
 from tillstar.plans.tables import TABLES
-from tillstar.session import new_path, scratch, side_by_side
+from tillstar.session import new_path, remove, scratch, shuffles_freed, side_by_side
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
 from tillstar.sources.csv import BAD_RECORD, file_inventory, read_csv
@@ -35,6 +38,7 @@ def run_pipeline(
     skip_corrupt: bool = False,
     version: str | None = None,
     resume: bool = False,
+    use_up: bool = False,
 ) -> DataFrame:
     """Build everything under ``root`` and return rows (table_name, metric, value).
 
@@ -59,6 +63,11 @@ def run_pipeline(
     broke off goes on where it stopped, and one after a change builds what
     follows from it.  Tables given as such are recorded if ``version`` names
     their content.
+
+    Disk: shuffle files go with the write that made them, a table's keys and ids
+    on their way with the table, and of tables of more than ``LARGE_BYTES`` one
+    is built at a time.  With ``use_up`` a CSV file, or folder of files, is
+    removed as soon as its wide table is finished, for folders made for the run.
     """
     folder = source.rstrip("/") if isinstance(source, str) else None
     progress = Progress(spark, root, resume)
@@ -66,6 +75,11 @@ def run_pipeline(
     wide: dict[str, DataFrame] = {}
     star: dict[str, DataFrame] = {}
     rows_of: dict[str, int] = {}
+    large = Lock()
+
+    def alone(*tables: DataFrame) -> AbstractContextManager:
+        """Large tables wait for each other: what they hold on disk meanwhile does not add up."""
+        return large if sum(map(estimated_bytes, tables)) > LARGE_BYTES else nullcontext()
 
     def keep(
         name: str, parts: Sequence, path: str, into: dict[str, DataFrame], build: Callable[[], tuple[dict[str, int], DataFrame]]
@@ -91,30 +105,37 @@ def run_pipeline(
 
         def build() -> tuple[dict[str, int], DataFrame]:
             with scratch(spark):  # the rows as read, and what repeats in them, go once the table is written
-                if made_from:
-                    before, rows = parsed(name, made_from)
-                    df = transform(rows, rules, as_of)
-                    counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
-                else:
-                    seen, rows = Observation(), source[name]
-                    counted = [F.count(F.lit(1)).alias("rows_initial"), F.lit(0).cast("bigint").alias("bad_records")]
-                    if BAD_RECORD in rows.columns:
-                        counted[1] = F.count(BAD_RECORD).alias("bad_records")
-                    df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
-                    counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
-                    # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
-                    before = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
+                given = csv_rows(name, made_from) if made_from else source[name]
+                with alone(given):
+                    if made_from:
+                        before, rows = parsed(name, given)
+                        df = transform(rows, rules, as_of)
+                        counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+                    else:
+                        seen, rows = Observation(), given
+                        counted = [F.count(F.lit(1)).alias("rows_initial"), F.lit(0).cast("bigint").alias("bad_records")]
+                        if BAD_RECORD in rows.columns:
+                            counted[1] = F.count(BAD_RECORD).alias("bad_records")
+                        df = transform(rows.observe(seen, *counted).drop(BAD_RECORD), rules, as_of)
+                        counts = parquet.load_wide(df, root, name, flag_counts(rules.flag_names()))
+                        # Where no row is left, Spark replaces the plan, and what was observed in it is lost.
+                        before = seen.get if counts["rows"] else rows.agg(*counted).first().asDict()
             counts |= row_counts(before, counts["rows"])
             if made_from and skip_corrupt:
                 counts |= left_out(made_from)
             return counts, spark.read.schema(df.schema).parquet(path)
 
-        return keep(name, [told, rules_parts(rules, as_of), by_quotes, skip_corrupt], path, wide, build)
+        counts = keep(name, [told, rules_parts(rules, as_of), by_quotes, skip_corrupt], path, wide, build)
+        if made_from and use_up:
+            remove(spark, made_from)
+        return counts
+
+    def csv_rows(name: str, path: str) -> DataFrame:
+        how = {"multi_line": False, "keep_bad": True, "by_quotes": by_quotes, "skip_corrupt": skip_corrupt}
+        return read_csv(spark, path, SCHEMAS[name], **how)
 
-    def parsed(name: str, path: str) -> tuple[dict[str, int], DataFrame]:
+    def parsed(name: str, rows: DataFrame) -> tuple[dict[str, int], DataFrame]:
         """A table's CSV as Parquet, and its rows and bad records: cleaning and flags read the rows several times."""
-        how = {"multi_line": False, "keep_bad": True, "by_quotes": by_quotes, "skip_corrupt": skip_corrupt}
-        rows = read_csv(spark, path, SCHEMAS[name], **how)
         held = new_path(spark, f"read-{name}")
         seen = parquet.write_parquet(rows, held, observe=[F.count(BAD_RECORD).alias("bad_records")])
         stored = spark.read.schema(rows.schema).parquet(held).drop(BAD_RECORD)
@@ -135,11 +156,13 @@ def run_pipeline(
         path = parquet.dimension_path(root, name)
 
         def build() -> tuple[dict[str, int], DataFrame]:
-            if name == "dim_date":
-                df = build_dim_date(spark) if dim_date is None else dim_date
-            else:
-                df = build_dimension(name, wide[DIMENSIONS[name].table])
-            counts = parquet.load_dimension(df, root, name)
+            built_on = [wide[DIMENSIONS[name].table]] if name in DIMENSIONS else []
+            with alone(*built_on), scratch(spark):  # its rows in key order go once it is written
+                if name == "dim_date":
+                    df = build_dim_date(spark) if dim_date is None else dim_date
+                else:
+                    df = build_dimension(name, wide[DIMENSIONS[name].table])
+                counts = parquet.load_dimension(df, root, name)
             return counts, spark.read.schema(df.schema).parquet(path)
 
         if name == "dim_date":  # small, and given as a table that has no version
@@ -155,12 +178,13 @@ def run_pipeline(
         laid_out = list(facts_partitioned_by.get(name, ()))
 
         def build() -> tuple[dict[str, int], DataFrame]:
-            df = build_fact(name, wide[layout.table], star, rows_of=rows_of)
-            if name == ORDERS and laid_out:
-                day = F.col("order_date")
-                parts = {"order_year": F.year(day), "order_month": F.month(day)}
-                df = df.withColumns({c: parts[c] for c in laid_out if c in parts})
-            counts = parquet.load_fact(df, root, name, laid_out)
+            with alone(wide[layout.table]), scratch(spark):  # so do ids and keys on their way
+                df = build_fact(name, wide[layout.table], star, rows_of=rows_of)
+                if name == ORDERS and laid_out:
+                    day = F.col("order_date")
+                    parts = {"order_year": F.year(day), "order_month": F.month(day)}
+                    df = df.withColumns({c: parts[c] for c in laid_out if c in parts})
+                counts = parquet.load_fact(df, root, name, laid_out)
             return counts, spark.read.schema(df.schema).parquet(path)
 
         built_on = [versions[k.dimension] for k in layout.lookups]
@@ -169,7 +193,7 @@ def run_pipeline(
         star[name] = star[name].drop("order_year", "order_month")
         return counts
 
-    with scratch(spark):  # keys and ids on their way; all that stays is under ``root``
+    with shuffles_freed(spark):  # all that stays is under ``root``
         loaded = side_by_side(keep_wide, TABLES)
         written = {f"wide_{name}": counts for name, counts in loaded.items()}
         written |= side_by_side(keep_dimension, ["dim_date", *DIMENSIONS])

@@ -27,13 +27,15 @@ from tillstar.operators.sizes import BROADCAST_BYTES
 from tillstar.plans.pipeline import run_pipeline
 from tillstar.plans.star import DIMENSIONS, FACTS, build_dimension, build_fact, key_table
 from tillstar.plans.tables import TABLES
-from tillstar.session import is_local, new_path, side_by_side, write_shared
+from tillstar.session import is_local, new_path, scratch, side_by_side, write_shared
 from tillstar.sinks import jdbc, parquet
 from tillstar.sources.calendar import build_dim_date
 from tillstar.sources.csv import BAD_RECORD, extract_all, file_inventory, read_csv
 from tillstar.sources.schemas import SCHEMAS
 from tillstar.verify.bindings import given, source_table
 
+CSV_ROWS = 1_000_000  # of a compressed file, which one task reads
+
 AS_OF = AsOf(dt.date(2001, 1, 1), dt.datetime(2001, 1, 1))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,10 +95,10 @@ def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return build_fact(name, tables[layout.table], tables)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, **options: str | int) -> None:
     """Keep padding, quotes and line breaks as they are."""
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, escape='"', **blanks).csv(path)
+    df.write.options(header=True, escape='"', **blanks, **options).csv(path)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +108,10 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    folder = new_path(spark, "csv")
+    """The twelve tables as CSV, in compressed files that hold no more rows than one task reads well."""
+    folder, small = new_path(spark, "csv"), {"compression": "snappy", "maxRecordsPerFile": CSV_ROWS}
     side_by_side(
-        lambda name: write_csv(source_table(spark, sf_dir, name), f"{folder}/{name}.csv"), TABLES
+        lambda name: write_csv(source_table(spark, sf_dir, name), f"{folder}/{name}.csv", **small), TABLES
     )
     return folder
 
@@ -405,8 +408,9 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a folder of CSV files to every wide table, dimension and fact."""
-    folder, dates = csv_folder(spark, sf_dir), calendar(spark, sf_dir)
-    return run_pipeline(spark, folder, new_path(spark, "run"), AS_OF, dim_date=dates)
+    root, dates = new_path(spark, "run"), calendar(spark, sf_dir)
+    with scratch(spark):  # each CSV file goes when its table is built
+        return run_pipeline(spark, csv_folder(spark, sf_dir), root, AS_OF, dim_date=dates, use_up=True)
 
 
 _runs: dict[tuple[str, str], str] = {}
@@ -418,10 +422,11 @@ def run_folder(spark: SparkSession, sf_dir: str) -> str:
     if known not in _runs:
         root = new_path(spark, "run")
         layout = {"fact_orders": ["order_year", "order_month"]}
-        run_pipeline(
-            spark, csv_folder(spark, sf_dir), root, AS_OF, calendar(spark, sf_dir),
-            facts_partitioned_by=layout,
-        )
+        with scratch(spark):  # each CSV file goes when its table is built
+            run_pipeline(
+                spark, csv_folder(spark, sf_dir), root, AS_OF, calendar(spark, sf_dir),
+                facts_partitioned_by=layout, use_up=True,
+            )
         _runs[known] = root
     return _runs[known]
 
