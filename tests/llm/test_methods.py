@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -127,6 +129,47 @@ def test_neighbours_are_the_most_alike():
     assert list(index.neighbours(1, unused)) == [4]
 
 
+def bm25(docs, seed):
+    """Every document's score for the seed's terms, counted term by term."""
+    mean, found = sum(map(len, docs)) / len(docs), []
+    df = Counter(t for d in docs for t in set(d))
+    for d in docs:
+        tf, norm = Counter(d), 1.2 * (0.25 + 0.75 * len(d) / mean)
+        shared = [t for t in set(docs[seed]) & set(d) if df[t] > 1]
+        found.append(sum(math.log1p((len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2 / (tf[t] + norm) for t in shared))
+    return found
+
+
+def random_docs(count):
+    """Documents of many terms, rare and frequent ones; most share far more than 24 with others."""
+    draw = np.random.default_rng(11)
+    sizes = draw.integers(1, 300, count)
+    return [np.minimum(draw.pareto(0.6, size) * 3, 60000).astype(np.uint16).tolist() for size in sizes]
+
+
+def test_neighbours_are_scored_by_all_terms():
+    docs = random_docs(300)
+    index = packing.Index(np.array([x for d in docs for x in d], np.uint16), np.array([len(d) for d in docs]))
+    for seed in range(0, 300, 7):
+        unused = np.arange(300) % 5 != seed % 5
+        score = np.array(bm25(docs, seed))
+        assert np.allclose(index.scores(seed), score, rtol=1e-5, atol=1e-5)
+        found = list(index.neighbours(seed, unused))
+        assert sorted(found) == [d for d in range(300) if unused[d] and score[d] > 0]
+        assert (np.diff(score[found]) <= 1e-4).all()
+
+
+def test_a_neighbour_may_share_frequent_terms_only():
+    """One that shares all but a seed's 30 rarest terms goes before one that shares a few of these."""
+    rare, plain = list(range(100, 130)), list(range(200, 280))
+    seed, like, unlike = rare + plain, plain, rare[:2] + list(range(300, 380))
+    others = [[x, 400 + i, 500 + i] for i, x in enumerate(plain)] + [[x] for x in rare]
+    docs = [seed, unlike, like, *others]
+    packer = packing.Packer(len(seed) + len(like), 0)
+    packing.pack_shard(packer, list(range(len(docs))), [np.array(d, "<u2").tobytes() for d in docs])
+    assert [row[0] for row in packer.rows if row[5] == 0] == [0, 2]
+
+
 def test_license_classifier_on_noisy_notices():
     plain = [f"the quick brown fox number {i} jumps over lazy dogs and runs away" for i in range(300)]
     model = licenses.fit(plain)
